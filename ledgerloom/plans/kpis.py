@@ -236,11 +236,12 @@ def headline_numbers(enriched: DataFrame, analytics: DataFrame, config: RetailCo
             F.sum(F.when(year == config.base_year, c("net_revenue"))).alias("base"),
             F.sum(F.when(year == config.comparison_year, c("net_revenue"))).alias("comparison"),
             F.count_if(deep).alias("deep_orders"),
-            F.avg(F.when(deep, c("margin_pct"))).alias("deep_margin"),
-            F.avg(F.when(full_price, c("margin_pct"))).alias("full_price_margin"),
+            # Means of doubles: digits past the ninth depend on the order in which tasks finish.
+            F.round(F.avg(F.when(deep, c("margin_pct"))), 9).alias("deep_margin"),
+            F.round(F.avg(F.when(full_price, c("margin_pct"))), 9).alias("full_price_margin"),
         )
         .withColumn("growth", _share(c("comparison"), c("base")) - 1)
-        .withColumn("compression", c("full_price_margin") - c("deep_margin"))
+        .withColumn("compression", F.round(c("full_price_margin") - c("deep_margin"), 9))
         .withColumn("segments", segments)
     )
     threshold = f"{int(float(config.deep_discount) * 100)}%+"

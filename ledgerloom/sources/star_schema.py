@@ -64,7 +64,7 @@ def star_schema_config() -> RetailConfig:
         base_year=1999,
         comparison_year=2000,
         countries=tuple(f"NATION_{i}" for i in range(25)),
-        categories=("ECONOMY", "PROMO", "STANDARD"),
+        categories=("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"),
         segments=("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"),
     )
 
@@ -73,7 +73,7 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")
     heads = spark.read.parquet(f"{folder}/orders.parquet")
     parts = spark.read.parquet(f"{folder}/part.parquet").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
-    people = _customers_with_nation(spark, folder).select(F.col("c_custkey").alias("o_custkey"), "n_name")
+    people = spark.read.parquet(f"{folder}/customer.parquet").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
 
     lines = lines.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_tax", "l_shipdate"
@@ -84,6 +84,7 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     joined = lookup_join(lines, heads, "l_orderkey", "inner")
     joined = lookup_join(joined, parts, "l_partkey", "inner", hot_source=lines)
     joined = lookup_join(joined, people, "o_custkey", "inner", hot_source=heads)
+    joined = lookup_join(joined, _nations(spark, folder), "c_nationkey", "inner", hot_source=people)
     return joined.selectExpr(*ORDER_COLUMNS)
 
 
@@ -93,7 +94,8 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
-    return _customers_with_nation(spark, folder).selectExpr(*CUSTOMER_COLUMNS)
+    people = spark.read.parquet(f"{folder}/customer.parquet")
+    return lookup_join(people, _nations(spark, folder), "c_nationkey", "inner").selectExpr(*CUSTOMER_COLUMNS)
 
 
 def returns(spark: SparkSession, folder: str) -> DataFrame:
@@ -119,7 +121,6 @@ def retail_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {make.__name__: make(spark, folder) for make in makers}
 
 
-def _customers_with_nation(spark: SparkSession, folder: str) -> DataFrame:
-    people = spark.read.parquet(f"{folder}/customer.parquet")
-    nations = spark.read.parquet(f"{folder}/nation.parquet").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return lookup_join(people, nations, "c_nationkey", "inner")
+def _nations(spark: SparkSession, folder: str) -> DataFrame:
+    nations = spark.read.parquet(f"{folder}/nation.parquet")
+    return nations.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
