@@ -15,10 +15,29 @@ def _bytes(text: str) -> int:
     return int(number) * _UNITS[unit]
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate: stored size, scaled by the columns in use, as if no filter removed rows.
+
+    For a join it is the product of both sides, so only a frame without joins is ever found small.
+    """
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def fits_broadcast(df: DataFrame) -> bool:
-    """Is the optimizer's size estimate below the session's broadcast threshold?"""
-    limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
+    """Is the estimate below the session's broadcast threshold?"""
+    return estimated_bytes(df) <= _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+
+
+def spread_if_small(scan: DataFrame) -> DataFrame:
+    """Spread a scan of less than one file split over all cores.
+
+    Such a file is often a single row group, which one task reads and then processes alone. A scan of many
+    splits is left as it is: spreading it would be a shuffle of the whole table.
+    """
+    spark = scan.sparkSession
+    if estimated_bytes(scan) > _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")):
+        return scan
+    return scan.repartition(spark.sparkContext.defaultParallelism)
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:

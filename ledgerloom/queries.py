@@ -12,11 +12,11 @@ from ledgerloom.functions import calendar, display, measures, text
 from ledgerloom.operators import checks, dedup, profile, ranking
 from ledgerloom.plans import cleaning, enrichment, kpis, marts, quality, scoring, staging
 from ledgerloom.sinks import files, warehouse
-from ledgerloom.sources import star_schema as src
+from ledgerloom.sources.star_schema import RetailTables, star_schema_config
 from ledgerloom.sources.tables import read_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
-CONFIG = src.star_schema_config()
+CONFIG = star_schema_config()
 NUMERIC_ORDER_COLUMNS = ("unit_price", "discount", "quantity", "shipping_cost")
 PROFILED = ("orders", "products", "customers", "returns")
 
@@ -29,88 +29,84 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(f"`{c}`").cast("double") for c in decimals}) if decimals else df
 
 
-def query(make: Query) -> Query:
+def query(make: Callable[[RetailTables], DataFrame]):
     """Register a query under its function name."""
-    QUERIES[make.__name__] = lambda spark, folder: comparable(make(spark, folder))
+    QUERIES[make.__name__] = lambda spark, folder: comparable(make(RetailTables(spark, folder)))
     return make
 
 
-def _only(spark: SparkSession, folder: str, names: tuple[str, ...]) -> dict[str, DataFrame]:
-    return {n: getattr(src, n)(spark, folder) for n in names}
-
-
 # --- lineage B: staging, facts, marts ---------------------------------------------------------------------
 
 
 @query
-def stg_orders(spark, folder):
-    return staging.stg_orders(src.orders(spark, folder), CONFIG)
+def stg_orders(t: RetailTables) -> DataFrame:
+    return staging.stg_orders(t.orders, CONFIG)
 
 
 @query
-def stg_products(spark, folder):
-    return staging.stg_products(src.products(spark, folder))
+def stg_products(t):
+    return staging.stg_products(t.products)
 
 
 @query
-def stg_customers(spark, folder):
-    return staging.stg_customers(src.customers(spark, folder))
+def stg_customers(t):
+    return staging.stg_customers(t.customers)
 
 
 @query
-def stg_returns(spark, folder):
-    return staging.stg_returns(src.returns(spark, folder))
+def stg_returns(t):
+    return staging.stg_returns(t.returns)
 
 
 @query
-def stg_sales_targets(spark, folder):
-    return staging.stg_sales_targets(src.sales_targets(spark, folder))
+def stg_sales_targets(t):
+    return staging.stg_sales_targets(t.sales_targets)
 
 
 @query
-def int_orders_enriched(spark, folder):
-    return enrichment.int_orders_enriched(stg_orders(spark, folder), stg_products(spark, folder))
+def int_orders_enriched(t):
+    return enrichment.int_orders_enriched(stg_orders(t), stg_products(t))
 
 
 @query
-def fct_orders(spark, folder):
-    return enrichment.fct_orders(int_orders_enriched(spark, folder), stg_returns(spark, folder))
+def fct_orders(t):
+    return enrichment.fct_orders(int_orders_enriched(t), stg_returns(t))
 
 
 @query
-def total_orders_by_month(spark, folder):
-    return marts.total_orders_by_month(fct_orders(spark, folder))
+def total_orders_by_month(t):
+    return marts.total_orders_by_month(fct_orders(t))
 
 
 @query
-def disc_tier_sql(spark, folder):
-    tiers = int_orders_enriched(spark, folder).groupBy("discount", "disc_tier")
+def disc_tier_sql(t):
+    tiers = int_orders_enriched(t).groupBy("discount", "disc_tier")
     return tiers.agg(F.count("*").alias("orders"))
 
 
 @query
-def mart_commercial_kpis(spark, folder):
-    return marts.mart_commercial_kpis(fct_orders(spark, folder))
+def mart_commercial_kpis(t):
+    return marts.mart_commercial_kpis(fct_orders(t))
 
 
 @query
-def mart_country_targets(spark, folder):
-    return marts.mart_country_targets(fct_orders(spark, folder), stg_sales_targets(spark, folder), CONFIG)
+def mart_country_targets(t):
+    return marts.mart_country_targets(fct_orders(t), stg_sales_targets(t), CONFIG)
 
 
 @query
-def int_customer_rfm(spark, folder):
-    return scoring.int_customer_rfm(int_orders_enriched(spark, folder), CONFIG)
+def int_customer_rfm(t):
+    return scoring.int_customer_rfm(int_orders_enriched(t), CONFIG)
 
 
 @query
-def mart_customer_kpis(spark, folder):
-    return marts.mart_customer_kpis(stg_customers(spark, folder), int_customer_rfm(spark, folder), CONFIG)
+def mart_customer_kpis(t):
+    return marts.mart_customer_kpis(stg_customers(t), int_customer_rfm(t), CONFIG)
 
 
 @query
-def ntile_distributed(spark, folder):
-    base = scoring.rfm_base(stg_orders(spark, folder), CONFIG).select("customer_id", *scoring.SCORES.values())
+def ntile_distributed(t):
+    base = scoring.rfm_base(stg_orders(t), CONFIG).select("customer_id", *scoring.SCORES.values())
     return ranking.tile_by_rank(base, "customer_id", {c: F.col(c) for c in scoring.SCORES.values()})
 
 
@@ -118,76 +114,76 @@ def ntile_distributed(spark, folder):
 
 
 @query
-def profile_nulls(spark, folder):
-    return profile.profile_tables(_only(spark, folder, PROFILED))
+def profile_nulls(t):
+    return profile.profile_tables(t.by_name(*PROFILED))
 
 
 @query
-def columns_with_nulls(spark, folder):
-    return profile.columns_with_nulls(int_orders_enriched(spark, folder))
+def columns_with_nulls(t):
+    return profile.columns_with_nulls(int_orders_enriched(t))
 
 
 @query
-def duplicate_rows(spark, folder):
-    return profile.duplicate_rows_by_table(_only(spark, folder, PROFILED))
+def duplicate_rows(t):
+    return profile.duplicate_rows_by_table(t.by_name(*PROFILED))
 
 
 @query
-def describe_orders(spark, folder):
-    return profile.describe(src.orders(spark, folder), NUMERIC_ORDER_COLUMNS)
+def describe_orders(t):
+    return profile.describe(t.orders, NUMERIC_ORDER_COLUMNS)
 
 
 @query
-def iqr_outliers(spark, folder):
-    return profile.iqr_outliers(src.orders(spark, folder), NUMERIC_ORDER_COLUMNS)
+def iqr_outliers(t):
+    return profile.iqr_outliers(t.orders, NUMERIC_ORDER_COLUMNS)
 
 
 @query
-def quality_report(spark, folder):
-    return quality.quality_report(_only(spark, folder, PROFILED), CONFIG)
+def quality_report(t):
+    return quality.quality_report(t.by_name(*PROFILED), CONFIG)
 
 
 @query
-def quality_report_summary(spark, folder):
-    return checks.report_summary(quality_report(spark, folder))
+def quality_report_summary(t):
+    return checks.report_summary(quality_report(t))
 
 
 @query
-def unique_violations(spark, folder):
-    return checks.duplicated_values(src.orders(spark, folder), "order_id")
+def unique_violations(t):
+    return checks.duplicated_values(t.orders, "order_id")
 
 
 @query
-def fk_violations(spark, folder):
-    orders, products = src.orders(spark, folder), src.products(spark, folder)
+def fk_violations(t):
+    orders, products = t.orders, t.products
     return checks.orphan_keys(orders, "product_id", products, "product_id")
 
 
 @query
-def accepted_values(spark, folder):
+def accepted_values(t):
     """Against the lists of the original data set, so that values outside of them are found."""
-    return quality.unaccepted_source_values(_only(spark, folder, ("orders", "products", "customers")))
+    return quality.unaccepted_source_values(t.by_name("orders", "products", "customers"))
 
 
 @query
-def source_tests(spark, folder):
-    return checks.run_column_tests(src.retail_tables(spark, folder), quality.source_tests(CONFIG))
+def source_tests(t):
+    return checks.run_column_tests(t.by_name(), quality.source_tests(CONFIG))
 
 
 @query
-def mart_tests(spark, folder):
-    models = {"fct_orders": fct_orders(spark, folder), "mart_customer_kpis": mart_customer_kpis(spark, folder)}
+def mart_tests(t):
+    models = {"fct_orders": fct_orders(t), "mart_customer_kpis": mart_customer_kpis(t)}
     return checks.run_column_tests(models, quality.mart_tests())
 
 
 @query
-def table_shapes(spark, folder):
-    return profile.table_shapes(src.retail_tables(spark, folder))
+def table_shapes(t):
+    return profile.table_shapes(t.by_name())
 
 
 @query
-def preview_orders(spark, folder):
-    orders = src.orders(spark, folder)
+def preview_orders(t):
+    orders = t.orders
     return profile.preview(orders, orders.columns)
 
 
@@ -195,45 +191,45 @@ def preview_orders(spark, folder):
 
 
 @query
-def clean_orders(spark, folder):
-    return cleaning.clean_orders(src.orders(spark, folder), CONFIG)
+def clean_orders(t):
+    return cleaning.clean_orders(t.orders, CONFIG)
 
 
 @query
-def clean_products(spark, folder):
-    return cleaning.clean_products(src.products(spark, folder))
+def clean_products(t):
+    return cleaning.clean_products(t.products)
 
 
 @query
-def clean_customers(spark, folder):
-    return cleaning.clean_customers(src.customers(spark, folder), CONFIG)
+def clean_customers(t):
+    return cleaning.clean_customers(t.customers, CONFIG)
 
 
 @query
-def clean_returns(spark, folder):
-    return cleaning.clean_returns(src.returns(spark, folder))
+def clean_returns(t):
+    return cleaning.clean_returns(t.returns)
 
 
 @query
-def clean_targets(spark, folder):
-    return cleaning.clean_targets(src.sales_targets(spark, folder))
+def clean_targets(t):
+    return cleaning.clean_targets(t.sales_targets)
 
 
 @query
-def dedup_first(spark, folder):
-    return dedup.keep_first(src.returns(spark, folder), ["order_id"])
+def dedup_first(t):
+    return dedup.keep_first(t.returns, ["order_id"])
 
 
 @query
-def dedup_removed_count(spark, folder):
-    removed = {t: dedup.removed_count(src.__dict__[t](spark, folder), ["order_id"]) for t in ("orders", "returns")}
-    return profile.union_all([df.select(F.lit(t).alias("table_name"), "removed") for t, df in removed.items()])
+def dedup_removed_count(t):
+    removed = {n: dedup.removed_count(df, ["order_id"]) for n, df in t.by_name("orders", "returns").items()}
+    return profile.union_all([df.select(F.lit(n).alias("table_name"), "removed") for n, df in removed.items()])
 
 
 @query
-def parse_date_tolerant(spark, folder):
+def parse_date_tolerant(t):
     """Order priorities are no dates, order dates are: both as text, parsed leniently and counted."""
-    heads = read_parquet(spark, f"{folder}/orders.parquet")
+    heads = t.read("orders")
     texts = heads.select(
         F.col("o_orderkey").alias("order_key"),
         F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority"))
@@ -247,95 +243,95 @@ def parse_date_tolerant(spark, folder):
 
 
 @query
-def orders_enriched(spark, folder):
-    return enrichment.orders_enriched(clean_orders(spark, folder), clean_products(spark, folder))
+def orders_enriched(t):
+    return enrichment.orders_enriched(clean_orders(t), clean_products(t))
 
 
 @query
-def date_dimensions(spark, folder):
-    return enrichment.dim_date(orders_enriched(spark, folder))
+def date_dimensions(t):
+    return enrichment.dim_date(orders_enriched(t))
 
 
 @query
-def rfm_qcut(spark, folder):
-    base = scoring.rfm_base(orders_enriched(spark, folder), CONFIG).select("customer_id", *scoring.SCORES.values())
+def rfm_qcut(t):
+    base = scoring.rfm_base(orders_enriched(t), CONFIG).select("customer_id", *scoring.SCORES.values())
     return ranking.bins_by_quantile(base, {c: F.col(c) for c in scoring.SCORES.values()})
 
 
 @query
-def customer_analytics(spark, folder):
-    return scoring.customer_analytics(orders_enriched(spark, folder), CONFIG)
+def customer_analytics(t):
+    return scoring.customer_analytics(orders_enriched(t), CONFIG)
 
 
 @query
-def customer_profit(spark, folder):
-    return scoring.customer_profit(orders_enriched(spark, folder))
+def customer_profit(t):
+    return scoring.customer_profit(orders_enriched(t))
 
 
 @query
-def score_distribution(spark, folder):
-    return scoring.score_distribution(customer_analytics(spark, folder))
+def score_distribution(t):
+    return scoring.score_distribution(customer_analytics(t))
 
 
 @query
-def segment_distribution(spark, folder):
-    return scoring.segment_distribution(customer_analytics(spark, folder))
+def segment_distribution(t):
+    return scoring.segment_distribution(customer_analytics(t))
 
 
 @query
-def retention(spark, folder):
-    return kpis.retention(orders_enriched(spark, folder), CONFIG)
+def retention(t):
+    return kpis.retention(orders_enriched(t), CONFIG)
 
 
 @query
-def retained_customers(spark, folder):
-    return kpis.retained_customers(orders_enriched(spark, folder), CONFIG)
+def retained_customers(t):
+    return kpis.retained_customers(orders_enriched(t), CONFIG)
 
 
 @query
-def new_customers(spark, folder):
-    return kpis.new_customers(orders_enriched(spark, folder), CONFIG)
+def new_customers(t):
+    return kpis.new_customers(orders_enriched(t), CONFIG)
 
 
 @query
-def order_totals(spark, folder):
-    return kpis.order_totals(orders_enriched(spark, folder))
+def order_totals(t):
+    return kpis.order_totals(orders_enriched(t))
 
 
 @query
-def kpis_commercial(spark, folder):
-    return kpis.kpis_commercial(orders_enriched(spark, folder), clean_returns(spark, folder))
+def kpis_commercial(t):
+    return kpis.kpis_commercial(orders_enriched(t), clean_returns(t))
 
 
 @query
-def kpis_marketing(spark, folder):
-    enriched = orders_enriched(spark, folder)
+def kpis_marketing(t):
+    enriched = orders_enriched(t)
     return kpis.kpis_marketing(enriched, scoring.customer_analytics(enriched, CONFIG), CONFIG)
 
 
 @query
-def disc_impact(spark, folder):
-    return kpis.disc_impact(orders_enriched(spark, folder))
+def disc_impact(t):
+    return kpis.disc_impact(orders_enriched(t))
 
 
 @query
-def monthly_actual_vs_target(spark, folder):
-    return kpis.monthly_actual_vs_target(orders_enriched(spark, folder), clean_targets(spark, folder))
+def monthly_actual_vs_target(t):
+    return kpis.monthly_actual_vs_target(orders_enriched(t), clean_targets(t))
 
 
 @query
-def country_kpis(spark, folder):
-    return kpis.country_kpis(orders_enriched(spark, folder), clean_targets(spark, folder), CONFIG)
+def country_kpis(t):
+    return kpis.country_kpis(orders_enriched(t), clean_targets(t), CONFIG)
 
 
 @query
-def country_kpis_display(spark, folder):
-    return kpis.country_kpis_display(country_kpis(spark, folder), CONFIG)
+def country_kpis_display(t):
+    return kpis.country_kpis_display(country_kpis(t), CONFIG)
 
 
 @query
-def headline_numbers(spark, folder):
-    enriched = orders_enriched(spark, folder)
+def headline_numbers(t):
+    enriched = orders_enriched(t)
     return kpis.headline_numbers(enriched, scoring.customer_analytics(enriched, CONFIG), CONFIG)
 
 
@@ -343,18 +339,18 @@ def headline_numbers(spark, folder):
 
 
 @query
-def title_case(spark, folder):
-    people = src.customers(spark, folder)
+def title_case(t):
+    people = t.customers
     label = F.concat_ws("-", "segment", "acquisition_channel", "customer_name")
     return people.select("customer_id", text.title_case(label).alias("label"))
 
 
 @query
-def alias_country(spark, folder):
+def alias_country(t):
     """Nations 0, 3, 6 … under an alias or with blanks, then normalised as the cleaners do."""
     names = list(CONFIG.country_aliases)
     dirty = F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("customer_id") % len(names) + 1).cast("int"))
-    people = src.customers(spark, folder).select(
+    people = t.customers.select(
         "customer_id",
         F.when(F.col("customer_id") % 3 == 0, dirty)
         .when(F.col("customer_id") % 3 == 1, F.concat(F.lit(" "), dirty, F.lit(" ")))
@@ -366,15 +362,15 @@ def alias_country(spark, folder):
 
 
 @query
-def clip_discount(spark, folder):
-    orders = src.orders(spark, folder)
+def clip_discount(t):
+    orders = t.orders
     clipped = measures.clip(F.col("discount"), "0", CONFIG.max_discount)
     return orders.groupBy("discount").agg(F.first(clipped).alias("clipped"), F.count("*").alias("orders"))
 
 
 @query
-def fiscal_calendar(spark, folder):
-    dates = src.orders(spark, folder).select("order_date").distinct()
+def fiscal_calendar(t):
+    dates = t.orders.select("order_date").distinct()
     d = F.col("order_date")
     return dates.select(
         "order_date",
@@ -384,8 +380,8 @@ def fiscal_calendar(spark, folder):
 
 
 @query
-def display_formats(spark, folder):
-    parts = read_parquet(spark, f"{folder}/part.parquet")
+def display_formats(t):
+    parts = t.read("part")
     price = F.col("p_retailprice")
     return parts.select(
         F.col("p_partkey").alias("product_id"),
@@ -398,8 +394,8 @@ def display_formats(spark, folder):
 
 
 @query
-def snake_case_columns(spark, folder):
-    products = src.products(spark, folder)
+def snake_case_columns(t):
+    products = t.products
     headers = [c.replace("_", " ").title() + " " for c in products.columns]
     return text.with_snake_case_columns(products.toDF(*headers)).withColumnRenamed("sub-category", "sub_category")
 
@@ -418,14 +414,14 @@ def _scratch(spark: SparkSession) -> str:
 
 
 @query
-def write_read_roundtrip(spark, folder):
+def write_read_roundtrip(t):
     """Rows that differ after a round trip through parquet and CSV, with the number of rows written."""
-    original = stg_orders(spark, folder)
-    path = _scratch(spark)
+    original = stg_orders(t)
+    path = _scratch(t.spark)
     files.write_parquet(original, f"{path}/parquet")
     files.write_csv(original, f"{path}/csv")
-    stored = read_parquet(spark, f"{path}/parquet")
-    text_file = spark.read.schema(stored.schema).option("header", True).csv(f"{path}/csv")
+    stored = read_parquet(t.spark, f"{path}/parquet")
+    text_file = t.spark.read.schema(stored.schema).option("header", True).csv(f"{path}/csv")
     differing = profile.union_all(
         [
             copy.exceptAll(other).select(F.lit(name).alias("format"))
@@ -445,8 +441,8 @@ def write_read_roundtrip(spark, folder):
 
 
 @query
-def post_load_counts(spark, folder):
+def post_load_counts(t):
     """Load the raw tables into catalog tables of a scratch database and count them."""
     database = f"ledgerloom_raw_{uuid.uuid4().hex[:12]}"
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{_scratch(spark)}'")
-    return warehouse.load_raw(spark, src.retail_tables(spark, folder), database)
+    t.spark.sql(f"CREATE DATABASE {database} LOCATION '{_scratch(t.spark)}'")
+    return warehouse.load_raw(t.spark, t.by_name(), database)

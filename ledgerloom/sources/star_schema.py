@@ -7,11 +7,13 @@ impossible quantities and discounts, and some products and targets are missing.
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.config import RetailConfig
-from ledgerloom.operators.joins import lookup_join
+from ledgerloom.operators.joins import lookup_join, spread_if_small
+from ledgerloom.sources.tables import TABLES, read_parquet
 
 ORDER_COLUMNS = [
     "l_orderkey * 10 + l_linenumber AS order_id",
@@ -54,6 +56,12 @@ RETURN_COLUMNS = [
     "cast(l_shipdate AS date) AS return_date",
     "CASE l_linestatus WHEN 'F' THEN 'Wrong size' ELSE 'Damaged' END AS reason",
 ]
+TARGET_COLUMNS = [
+    "country",
+    "`year-month`",
+    """cast(10000 + 1000 * n_nationkey + 500 * cast(split_part(`year-month`, '-', 2) AS int)
+       AS decimal(12,2)) AS target_revenue""",
+]
 
 
 def star_schema_config() -> RetailConfig:
@@ -69,58 +77,61 @@ def star_schema_config() -> RetailConfig:
     )
 
 
-def orders(spark: SparkSession, folder: str) -> DataFrame:
-    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
-    heads = spark.read.parquet(f"{folder}/orders.parquet")
-    parts = spark.read.parquet(f"{folder}/part.parquet").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
-    people = spark.read.parquet(f"{folder}/customer.parquet").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-
-    lines = lines.select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_tax", "l_shipdate"
-    )
-    heads = heads.select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"
-    )
-    joined = lookup_join(lines, heads, "l_orderkey", "inner")
-    joined = lookup_join(joined, parts, "l_partkey", "inner", hot_source=lines)
-    joined = lookup_join(joined, people, "o_custkey", "inner", hot_source=heads)
-    joined = lookup_join(joined, _nations(spark, folder), "c_nationkey", "inner", hot_source=people)
-    return joined.selectExpr(*ORDER_COLUMNS)
-
-
-def products(spark: SparkSession, folder: str) -> DataFrame:
-    parts = spark.read.parquet(f"{folder}/part.parquet")
-    return parts.where("p_partkey % 50 <> 7").selectExpr(*PRODUCT_COLUMNS)
-
-
-def customers(spark: SparkSession, folder: str) -> DataFrame:
-    people = spark.read.parquet(f"{folder}/customer.parquet")
-    return lookup_join(people, _nations(spark, folder), "c_nationkey", "inner").selectExpr(*CUSTOMER_COLUMNS)
-
-
-def returns(spark: SparkSession, folder: str) -> DataFrame:
-    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
-    return lines.where("l_returnflag = 'R'").selectExpr(*RETURN_COLUMNS)
-
-
-def sales_targets(spark: SparkSession, folder: str) -> DataFrame:
-    """One target per nation and calendar month that has orders; nation 24 gets none."""
-    heads = spark.read.parquet(f"{folder}/orders.parquet")
-    months = heads.agg(F.sort_array(F.collect_set(F.date_format("o_orderdate", "yyyy-MM")))).scalar()
-    nations = spark.read.parquet(f"{folder}/nation.parquet").where("n_nationkey <> 24")
-    return nations.select("n_nationkey", F.col("n_name").alias("country"), F.explode(months).alias("year-month")).selectExpr(
-        "country",
-        "`year-month`",
-        """cast(10000 + 1000 * n_nationkey + 500 * cast(split_part(`year-month`, '-', 2) AS int)
-           AS decimal(12,2)) AS target_revenue""",
-    )
-
-
-def retail_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    makers = (orders, products, customers, returns, sales_targets)
-    return {make.__name__: make(spark, folder) for make in makers}
-
-
-def _nations(spark: SparkSession, folder: str) -> DataFrame:
-    nations = spark.read.parquet(f"{folder}/nation.parquet")
-    return nations.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+class RetailTables:
+    """The five tables over one folder of parquet files. Each file is opened once, when it is first needed."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = folder
+        self._opened: dict[str, DataFrame] = {}
+
+    def read(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            self._opened[name] = read_parquet(self.spark, f"{self.folder}/{name}.parquet")
+        return self._opened[name]
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        lines = self.read("lineitem").select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_tax", "l_shipdate"
+        )
+        heads = self.read("orders").selectExpr(
+            "o_orderkey AS l_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"
+        )
+        parts = self.read("part").selectExpr("p_partkey AS l_partkey", "p_retailprice")
+        people = self.read("customer").selectExpr("c_custkey AS o_custkey", "c_nationkey")
+        joined = lookup_join(spread_if_small(lines), heads, "l_orderkey", "inner", hot_source=lines)
+        joined = lookup_join(joined, parts, "l_partkey", "inner", hot_source=lines)
+        joined = lookup_join(joined, people, "o_custkey", "inner", hot_source=heads)
+        joined = lookup_join(joined, self._nations, "c_nationkey", "inner", hot_source=people)
+        return joined.selectExpr(*ORDER_COLUMNS)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self.read("part").where("p_partkey % 50 <> 7").selectExpr(*PRODUCT_COLUMNS)
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        people = lookup_join(self.read("customer"), self._nations, "c_nationkey", "inner")
+        return people.selectExpr(*CUSTOMER_COLUMNS)
+
+    @cached_property
+    def returns(self) -> DataFrame:
+        return self.read("lineitem").where("l_returnflag = 'R'").selectExpr(*RETURN_COLUMNS)
+
+    @cached_property
+    def sales_targets(self) -> DataFrame:
+        """One target per nation and calendar month that has orders; nation 24 gets none."""
+        month = F.date_format("o_orderdate", "yyyy-MM")
+        months = self.read("orders").agg(F.sort_array(F.collect_set(month))).scalar()
+        nations = self.read("nation").where("n_nationkey <> 24")
+        return nations.select(
+            "n_nationkey", F.col("n_name").alias("country"), F.explode(months).alias("year-month")
+        ).selectExpr(*TARGET_COLUMNS)
+
+    @property
+    def _nations(self) -> DataFrame:
+        return self.read("nation").selectExpr("n_nationkey AS c_nationkey", "n_name")
+
+    def by_name(self, *names: str) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for name in names or TABLES}
