@@ -26,36 +26,48 @@ def mart_commercial_kpis(fct: DataFrame, unique_order_ids: bool = False) -> Data
     """
     order_count = F.count("order_id") if unique_order_ids else F.count_distinct("order_id")
     dimensions = ["country", "channel", "category", "sub_category", "brand", "disc_tier"]
-    total = {c: F.sum(c) for c in ("gross_revenue", "discount_amount", "net_revenue", "cogs", "gross_profit")}
+    # The distinct counts copy each row once per count, sum buffers included, so only what cannot be derived
+    # is summed: the discount amount is gross less net, and staged measures are never NULL.
     groups = fct.groupBy("year", "month", *dimensions).agg(
         order_count.alias("total_orders"),
-        F.sum("quantity").alias("total_units"),
         F.count_distinct("customer_id").alias("unique_customers"),
-        _rounded(total["gross_revenue"], 2, "gross_revenue"),
-        _rounded(total["discount_amount"], 2, "total_discount"),
-        _rounded(total["net_revenue"], 2, "net_revenue"),
-        _rounded(ratio(total["net_revenue"], F.count("net_revenue")), 2, "avg_order_value"),
-        _rounded(total["cogs"], 2, "total_cogs"),
-        _rounded(total["gross_profit"], 2, "gross_profit"),
-        _rounded(ratio(total["gross_profit"], total["net_revenue"]), 4, "blended_margin_pct"),
-        _rounded(ratio(F.sum("discount"), F.count("discount")), 4, "avg_discount_pct"),
-        _rounded(ratio(total["discount_amount"], total["gross_revenue"]), 4, "discount_share_of_gross"),
+        F.sum("quantity").alias("total_units"),
+        F.sum("gross_revenue").alias("gross"),
+        F.sum("net_revenue").alias("net"),
+        F.sum("cogs").alias("costs"),
+        F.sum("gross_profit").alias("profit"),
+        F.sum("discount").alias("discounts"),
         F.sum("is_return").alias("total_returns"),
-        _rounded(ratio(F.sum("is_return").cast("decimal(20,0)"), F.count("*")), 4, "return_rate"),
+        F.count("*").alias("rows"),
     )
-    year, month = F.col("year"), F.col("month")
-    quarter = F.ceil(month / 3).cast("int")
-    keys = [
-        year,
+    c = F.col
+    quarter = F.ceil(c("month") / 3).cast("int")
+    year_text = c("year").cast("string")
+    given = c("gross") - c("net")
+    return groups.select(
+        "year",
         quarter.alias("quarter"),
-        month,
-        F.format_string("%04d-%02d", year, month).alias("year_month"),
-        F.format_string("%04d-Q%d", year, quarter).alias("year_quarter"),
-        fiscal_year_of(year, month).alias("fiscal_year"),
-        fiscal_quarter_of(month).alias("fiscal_quarter"),
+        "month",
+        F.concat(year_text, F.lit("-"), F.lpad(c("month").cast("string"), 2, "0")).alias("year_month"),
+        F.concat(year_text, F.lit("-Q"), quarter.cast("string")).alias("year_quarter"),
+        fiscal_year_of(c("year"), c("month")).alias("fiscal_year"),
+        fiscal_quarter_of(c("month")).alias("fiscal_quarter"),
         *dimensions,
-    ]
-    return groups.select(*keys, *[c for c in groups.columns if c not in ("year", "month", *dimensions)])
+        "total_orders",
+        "total_units",
+        "unique_customers",
+        _rounded(c("gross"), 2, "gross_revenue"),
+        _rounded(given, 2, "total_discount"),
+        _rounded(c("net"), 2, "net_revenue"),
+        _rounded(ratio(c("net"), c("rows")), 2, "avg_order_value"),
+        _rounded(c("costs"), 2, "total_cogs"),
+        _rounded(c("profit"), 2, "gross_profit"),
+        _rounded(ratio(c("profit"), c("net")), 4, "blended_margin_pct"),
+        _rounded(ratio(c("discounts"), c("rows")), 4, "avg_discount_pct"),
+        _rounded(ratio(given, c("gross")), 4, "discount_share_of_gross"),
+        "total_returns",
+        _rounded(ratio(c("total_returns").cast("decimal(20,0)"), c("rows")), 4, "return_rate"),
+    )
 
 
 def mart_customer_kpis(customers: DataFrame, rfm: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
