@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_SHARE = 0.001
 _UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30, "gb": 2**30}
@@ -87,10 +87,17 @@ def lookup_join(
 
 
 def orphan_keys(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Child keys without a parent, as ``key`` and number of ``rows``. A NULL key has no parent.
+    """Child keys without a parent, as ``key`` and number of ``rows``. NULL counts as a key like any other.
 
-    The child is counted per key before the join, so a hot key is one row by the time it is shuffled.
+    The child is counted per key before the join, so a hot key is one row by the time it is shuffled. Keys are
+    boxed in a struct, which makes NULL equal NULL and lets the join use the partitioning of both aggregations.
     """
-    counted = child.groupBy(F.col(child_key).alias("key")).agg(F.count("*").alias("rows"))
-    known = parent.select(F.col(parent_key).alias("key")).distinct()
-    return counted.join(known, "key", "left_anti")
+    kinds = child.schema[child_key].dataType, parent.schema[parent_key].dataType
+    kind = kinds[0] if kinds[0] == kinds[1] else "string"
+
+    def boxed(name: str) -> Column:
+        return F.struct(F.col(f"`{name}`").cast(kind).alias("key")).alias("boxed")
+
+    counted = child.groupBy(boxed(child_key)).agg(F.count("*").alias("rows"))
+    known = parent.select(boxed(parent_key)).distinct()
+    return counted.join(known, "boxed", "left_anti").select("boxed.key", "rows")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.operators.dedup import copies_per_key
-from ledgerloom.operators.ranking import quantiles
+from ledgerloom.operators.ranking import quantiles_of_counts, value_counts
 
 
 def _quoted(name: str):
@@ -79,47 +79,49 @@ def preview(df: DataFrame, order_by: Sequence[str], rows: int = 3) -> DataFrame:
     return df.orderBy(*[_quoted(c) for c in order_by]).limit(rows)
 
 
-def _moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, standard deviation, minimum and maximum per column: one pass, one row per column."""
-    stats = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    totals = df.agg(*[f(F.col(c).cast("double")).alias(f"{c}_{name}") for c in columns for name, f in stats.items()])
-    entries = [
-        F.struct(F.lit(c).alias("measure"), *[F.col(f"{c}_{name}").alias(name) for name in stats]) for c in columns
-    ]
-    return totals.select(F.inline(F.array(*entries)))
+def _counts_and_quartiles(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Value counts of the columns, and quartiles and mean per column: one pass over the table."""
+    counts = value_counts(df, {c: F.col(c) for c in columns})
+    means = counts.groupBy("measure").agg((F.sum(F.col("key").cast("double") * F.col("weight")) / F.sum("weight")).alias("mean"))
+    return counts, quantiles_of_counts(counts, 4).join(means, "measure")
 
 
-def _outside_fences(df: DataFrame, quartiles: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Values beyond 1.5 times the interquartile range. The fences are one small map, read as a scalar."""
+def _statistics(counts: DataFrame, per_column: DataFrame) -> DataFrame:
+    """Statistics of every column from its value counts. ``per_column`` has one row per column."""
+    value, weight = F.col("key").cast("double"), F.col("weight")
     low, high = F.element_at("edges", 2), F.element_at("edges", 4)
-    fences = quartiles.select(
-        "measure",
-        F.struct((low - (high - low) * 1.5).alias("low"), (high + (high - low) * 1.5).alias("high")).alias("fence"),
-    ).agg(F.map_from_entries(F.collect_list(F.struct("measure", "fence"))))
+    fence = (high - low) * 1.5
+    squares = F.sum((value - F.col("mean")) * (value - F.col("mean")) * weight)
+    return (
+        counts.join(F.broadcast(per_column), "measure")
+        .groupBy("measure", "mean", "edges")
+        .agg(
+            F.sum("weight").alias("count"),
+            F.sqrt(F.try_divide(squares, F.sum("weight") - 1)).alias("std"),
+            F.min(value).alias("min"),
+            F.max(value).alias("max"),
+            F.sum(F.when((value < low - fence) | (value > high + fence), weight).otherwise(0)).alias("iqr_outliers"),
+        )
+    )
 
-    def outside(c: str):
-        fence = F.try_element_at(F.col("_fences"), F.lit(c))
-        value = F.col(c).cast("double")
-        return F.count_if((value < fence["low"]) | (value > fence["high"])).alias(c)
 
-    counted = df.select(*columns).withColumn("_fences", fences.scalar()).agg(*[outside(c) for c in columns])
-    entries = [F.struct(F.lit(c).alias("measure"), F.col(c).alias("iqr_outliers")) for c in columns]
-    return counted.select(F.inline(F.array(*entries)))
+def _every_column(df: DataFrame, columns: Sequence[str], statistics: DataFrame) -> DataFrame:
+    """A row for each column, also for one without any value."""
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "measure string")
+    return names.join(statistics, "measure", "left").na.fill(0, ["count", "iqr_outliers"])
 
 
 def iqr_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    quartiles = quantiles(df, {c: F.col(c) for c in columns}, 4)
-    return _outside_fences(df, quartiles, columns)
+    """Values beyond 1.5 times the interquartile range, per column. NULL is never one."""
+    return describe(df, columns).select("measure", "iqr_outliers")
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Descriptive statistics with exact quartiles and the outlier count, rounded to three digits."""
-    quartiles = quantiles(df, {c: F.col(c) for c in columns}, 4)
+    statistics = _statistics(*_counts_and_quartiles(df, columns))
     edge = {"p25": 2, "p50": 3, "p75": 4}
-    joined = (
-        _moments(df, columns)
-        .join(quartiles.select("measure", *[F.element_at("edges", i).alias(p) for p, i in edge.items()]), "measure", "left")
-        .join(_outside_fences(df, quartiles, columns), "measure")
-    )
+    statistics = statistics.withColumns({name: F.element_at("edges", i) for name, i in edge.items()})
     numbers = ["mean", "std", "min", "p25", "p50", "p75", "max"]
-    return joined.select("measure", "count", *[F.bround(c, 3).alias(c) for c in numbers], "iqr_outliers")
+    return _every_column(df, columns, statistics).select(
+        "measure", "count", *[F.bround(c, 3).alias(c) for c in numbers], "iqr_outliers"
+    )

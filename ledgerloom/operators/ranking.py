@@ -7,14 +7,14 @@ which ranges hold the wanted ranks; only those ranges are sorted, each in a task
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ledgerloom.operators.storage import materialise
 
 MAX_RANGES = 512
 KEYS_PER_RANGE = 50_000
 SAMPLE_ROWS = 16384
-VALUE = "decimal(28,6)"
+WIDE, COMPACT = "decimal(28,6)", "decimal(18,6)"
 
 
 def _range_bounds(keys: DataFrame, totals: DataFrame) -> DataFrame:
@@ -70,8 +70,19 @@ def keys_at_ranks(keys: DataFrame, totals: DataFrame, ranks: DataFrame) -> DataF
     )
 
 
-def _long(df: DataFrame, measures: dict[str, Column], *extra: str) -> DataFrame:
-    pairs = [F.struct(F.lit(name).alias("measure"), c.cast(VALUE).alias("value")) for name, c in measures.items()]
+def _value_type(df: DataFrame, measures: dict[str, Column]) -> str:
+    """One decimal type for all measures. Eighteen digits are a long inside; more are not."""
+
+    def fits(kind: T.DataType) -> bool:
+        if isinstance(kind, T.DecimalType):
+            return kind.scale <= 6 and kind.precision - kind.scale <= 12
+        return isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType))
+
+    return COMPACT if all(fits(f.dataType) for f in df.select(*measures.values()).schema) else WIDE
+
+
+def _long(df: DataFrame, measures: dict[str, Column], kind: str, *extra: str) -> DataFrame:
+    pairs = [F.struct(F.lit(name).alias("measure"), c.cast(kind).alias("value")) for name, c in measures.items()]
     return df.select(*extra, F.inline(F.array(*pairs)))
 
 
@@ -82,8 +93,9 @@ def tile_by_rank(df: DataFrame, id_column: str, measures: dict[str, Column], til
     tile is one more than the number of tile ends below it.
     """
     df = materialise(df)
+    kind = _value_type(df, measures)
     sort_key = F.struct(F.col("value").isNull().alias("missing"), "value", F.col(id_column).alias("id"))
-    keys = _long(df, measures, id_column).select("measure", sort_key.alias("key"), F.lit(1).cast("bigint").alias("weight"))
+    keys = _long(df, measures, kind, id_column).select("measure", sort_key.alias("key"), F.lit(1).cast("bigint").alias("weight"))
     totals = keys.groupBy("measure").agg(F.count("*").alias("distinct_keys"))
     n = F.col("distinct_keys")
     ranks = totals.select("*", F.explode(F.sequence(F.lit(1), F.lit(tiles - 1))).alias("tile"))
@@ -95,7 +107,7 @@ def tile_by_rank(df: DataFrame, id_column: str, measures: dict[str, Column], til
     ends_by_measure = ends.agg(F.map_from_entries(F.collect_list(F.struct("measure", "ends")))).scalar()
 
     def tile(name: str, c: Column) -> Column:
-        value = c.cast(VALUE)
+        value = c.cast(kind)
         own = F.struct(value.isNull().alias("missing"), value.alias("value"), F.col(id_column).alias("id"))
         below = F.filter(F.try_element_at(F.col("_ends"), F.lit(name)), lambda end: end < own)
         return (F.size(F.coalesce(below, F.array())) + 1).cast("int")
@@ -107,18 +119,29 @@ def tile_by_rank(df: DataFrame, id_column: str, measures: dict[str, Column], til
     )
 
 
-def quantiles(df: DataFrame, measures: dict[str, Column], parts: int) -> DataFrame:
-    """Exact linear-interpolated quantiles 0/parts … parts/parts per measure.
+def value_counts(df: DataFrame, measures: dict[str, Column]) -> DataFrame:
+    """Every distinct value of every measure with its number of rows: measure, key, weight. Materialised.
 
-    Gives measure, n (values that are not NULL) and ``edges``, an array of ``parts + 1`` doubles. Equal values
-    are counted before anything else, so a value that fills a third of the table is one row with a weight.
+    Equal values are counted before anything else, so a value that fills a third of the table is one row.
     """
-    keys = materialise(
-        _long(df, measures)
+    counted = (
+        _long(df, measures, _value_type(df, measures))
         .where(F.col("value").isNotNull())
         .groupBy("measure", F.col("value").alias("key"))
         .agg(F.count("*").alias("weight"))
     )
+    return materialise(counted)
+
+
+def quantiles(df: DataFrame, measures: dict[str, Column], parts: int) -> DataFrame:
+    return quantiles_of_counts(value_counts(df, measures), parts)
+
+
+def quantiles_of_counts(keys: DataFrame, parts: int) -> DataFrame:
+    """Exact linear-interpolated quantiles 0/parts … parts/parts per measure of ``value_counts``.
+
+    Gives measure, n (values that are not NULL) and ``edges``, an array of ``parts + 1`` doubles.
+    """
     totals = keys.groupBy("measure").agg(F.sum("weight").alias("n"), F.count("*").alias("distinct_keys"))
 
     def low(t: Column) -> Column:
@@ -155,7 +178,7 @@ def bins_by_quantile(df: DataFrame, measures: dict[str, Column], bins: int = 5)
 
     def bin_of(name: str, c: Column) -> Column:
         own = F.try_element_at(F.col("_edges"), F.lit(name))
-        value = c.cast(VALUE).cast("double")
+        value = c.cast(WIDE).cast("double")
         number = F.size(F.filter(F.slice(own, 2, bins - 1), lambda e: e < value)) + 1
         repeated = F.size(F.array_distinct(own)) < bins + 1
         return (
