@@ -16,7 +16,14 @@ def to_int(df: DataFrame, name: str) -> Column:
 
 
 def stg_orders(raw: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
-    typed = raw.select(
+    """Valid orders, typed. The rules are stated on the stored columns, so that the scan can apply them."""
+    valid = raw.where(
+        F.col("discount").between(dec("0"), dec(config.max_discount))
+        & (F.col("unit_price") > 0)
+        & to_int(raw, "quantity").between(1, 5)
+        & (F.col("ship_date").cast("date") >= F.col("order_date").cast("date"))
+    )
+    typed = valid.select(
         "order_id",
         "customer_id",
         "product_id",
@@ -30,13 +37,7 @@ def stg_orders(raw: DataFrame, config: RetailConfig = RetailConfig()) -> DataFra
         F.col("discount").cast(DISCOUNT),
         F.col("shipping_cost").cast(PRICE),
     )
-    valid = typed.where(
-        F.col("discount").between(dec("0"), dec(config.max_discount))
-        & (F.col("unit_price") > 0)
-        & F.col("quantity").between(1, 5)
-        & (F.col("ship_date") >= F.col("order_date"))
-    )
-    return valid.withColumns(
+    return typed.withColumns(
         {
             "shipping_days": F.datediff("ship_date", "order_date"),
             "gross_revenue": gross_revenue(),

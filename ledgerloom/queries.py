@@ -65,12 +65,12 @@ def stg_sales_targets(t):
 
 @query
 def int_orders_enriched(t):
-    return enrichment.int_orders_enriched(stg_orders(t), stg_products(t))
+    return enrichment.int_orders_enriched(stg_orders(t), stg_products(t), t.order_keys)
 
 
 @query
 def fct_orders(t):
-    return enrichment.fct_orders(int_orders_enriched(t), stg_returns(t))
+    return enrichment.fct_orders(int_orders_enriched(t), stg_returns(t), order_keys=t.order_keys)
 
 
 @query
@@ -228,15 +228,13 @@ def dedup_removed_count(t):
 
 @query
 def parse_date_tolerant(t):
-    """Order priorities are no dates, order dates are: both as text, parsed leniently and counted."""
+    """Order dates as text are dates; order priorities are not and give NULL."""
     heads = t.read("orders")
-    texts = heads.select(
+    return heads.select(
         F.col("o_orderkey").alias("order_key"),
-        F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority"))
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
-        .alias("date_text"),
+        calendar.parse_date_or_null(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("parsed_date"),
+        calendar.parse_date_or_null(F.col("o_orderpriority")).alias("parsed_priority"),
     )
-    return texts.withColumn("parsed", calendar.parse_date_or_null(F.col("date_text")))
 
 
 # --- lineage A: enrichment, scores, reports ----------------------------------------------------------------
@@ -244,7 +242,7 @@ def parse_date_tolerant(t):
 
 @query
 def orders_enriched(t):
-    return enrichment.orders_enriched(clean_orders(t), clean_products(t))
+    return enrichment.orders_enriched(clean_orders(t), clean_products(t), t.order_keys)
 
 
 @query

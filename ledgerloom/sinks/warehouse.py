@@ -58,9 +58,12 @@ def row_counts(spark: SparkSession, names: Sequence[str], database: str = "raw")
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, batch_rows: int = 5000, connections: int = 8, **options: str) -> None:
-    """Replace a table of an external database with batched inserts over a bounded number of connections."""
+    """Replace a table of an external database with batched inserts over a bounded number of connections.
+
+    The rows are shuffled to the connections; ``coalesce`` would run everything before the load on as few tasks.
+    """
     (
-        df.coalesce(connections)
+        df.repartition(connections)
         .write.mode("overwrite")
         .format("jdbc")
         .options(url=url, dbtable=table, batchsize=str(batch_rows), **options)

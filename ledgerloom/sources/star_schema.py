@@ -106,9 +106,15 @@ class RetailTables:
         joined = lookup_join(joined, self._nations, "c_nationkey", "inner", hot_source=people)
         return joined.selectExpr(*ORDER_COLUMNS)
 
+    @property
+    def order_keys(self) -> DataFrame:
+        """Order and product id of every line, straight from the file."""
+        return self.read("lineitem").selectExpr("l_orderkey * 10 + l_linenumber AS order_id", "l_partkey AS product_id")
+
     @cached_property
     def products(self) -> DataFrame:
-        return self.read("part").where("p_partkey % 50 <> 7").selectExpr(*PRODUCT_COLUMNS)
+        """Parts of size 7 have no entry in the product master, so some orders have no product."""
+        return self.read("part").where("p_size <> 7").selectExpr(*PRODUCT_COLUMNS)
 
     @cached_property
     def customers(self) -> DataFrame:

@@ -94,7 +94,7 @@ CTES: dict[str, str] = {
                CAST(CAST(p_retailprice AS DECIMAL(12,2)) * CAST(40 + p_size % 20 AS DECIMAL(4,0))
                     * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(14,4)) AS unit_cost,
                CAST(p_retailprice AS DECIMAL(12,2)) AS list_price, DATE '1990-01-01' AS launch_date
-        FROM part WHERE p_partkey % 50 <> 7""",
+        FROM part WHERE p_size <> 7""",
     "raw_customers": """
         SELECT c_custkey AS customer_id, c_name AS customer_name, c_mktsegment AS segment, n_name AS country,
                'City ' || CAST(c_nationkey AS VARCHAR) AS city, DATE '1990-01-01' AS acquisition_date,

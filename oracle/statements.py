@@ -341,10 +341,9 @@ _FINAL["dedup_removed_count"] = " UNION ALL ".join(
     for t in ("orders", "returns")
 )
 _FINAL["parse_date_tolerant"] = """
-SELECT *, TRY_CAST(date_text AS DATE) AS parsed FROM (
-    SELECT o_orderkey AS order_key,
-           CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date_text
-    FROM orders)"""
+SELECT o_orderkey AS order_key, TRY_CAST(strftime(o_orderdate, '%Y-%m-%d') AS DATE) AS parsed_date,
+       TRY_CAST(o_orderpriority AS DATE) AS parsed_priority
+FROM orders"""
 
 # --- lineage A: enrichment, scores, reports ----------------------------------------------------------------
 _FINAL["orders_enriched"] = f"SELECT * REPLACE ({_doubles(*ENRICHED_MONEY)}) FROM orders_enriched"

@@ -268,3 +268,19 @@ def test_csv_source_has_declared_types_and_snake_case_names(spark, tmp_path):
     staged = staging.stg_orders(tables["orders"]).first()
     assert (staged.net_revenue, staged.shipping_days, staged.quantity) == (Decimal("18.9"), 2, 2)
     assert cleaning.clean_orders(tables["orders"]).first().country == "France"
+
+
+def test_staging_rules_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    orders_frame(spark, [order("a", D(2024, 5, 1)), order("b", D(2024, 5, 1), discount="0.9")]).write.parquet(path)
+    staged = staging.stg_orders(spark.read.parquet(path))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        plan = staged.select("order_id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan[plan.index("PushedFilters") :]
+    for rule in ("LessThanOrEqual(discount,0.5", "GreaterThan(unit_price,0", "LessThanOrEqual(quantity,5)"):
+        assert rule in pushed
+    assert "payment_method" not in plan
+    assert [r.order_id for r in staged.collect()] == ["a"]
