@@ -11,10 +11,10 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | Non
     """First row per key. NULL keys count as equal.
 
     ``order_by`` should name the ingestion sequence where there is one. Without it the order is that of all
-    columns, left to right, so that the result does not depend on how the input is partitioned. Spark cuts
+    other columns, left to right, so that the result does not depend on how the input is partitioned. Spark cuts
     each key to one row per task before the shuffle (``WindowGroupLimit``), so a hot key does no harm.
     """
-    order = [F.col(f"`{c}`").asc_nulls_last() for c in (order_by or df.columns)]
+    order = [F.col(f"`{c}`").asc_nulls_last() for c in (order_by or [c for c in df.columns if c not in keys])]
     first = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*order)
     return df.withColumn("_position", F.row_number().over(first)).where("_position = 1").drop("_position")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -52,6 +53,7 @@ def lookup_join(
     key: str,
     how: str = "left",
     hot_source: DataFrame | None = None,
+    spread_by: Sequence[str] = (),
     salts: int | None = None,
     force_salting: bool = False,
 ) -> DataFrame:
@@ -61,6 +63,7 @@ def lookup_join(
     sides are shuffled, and only the hot keys are salted: their fact rows are spread over all shuffle
     partitions and their lookup rows are copied to each. ``hot_source`` is a cheaper frame to find the hot keys
     in, such as the bare scan below ``fact``; which keys are called hot changes the speed, never the result.
+    ``spread_by`` adds columns to the spread where a hot key may sit in few partitions.
     """
     if how not in ("inner", "left"):
         raise ValueError("only inner and left joins keep the fact side whole")
@@ -69,9 +72,10 @@ def lookup_join(
 
     salts = salts or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = hot_keys(hot_source if hot_source is not None else fact, key).withColumn("_hot", F.lit(True))
-    # The spread must come out the same when a lost task runs again, so it uses no random number. The
-    # partition id separates rows that are equal in every column.
-    spread = F.pmod(F.xxhash64(*fact.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
+    # The spread must come out the same when a lost task runs again, so it uses no random number and no row
+    # position. The partition a row sits in spreads even rows that are equal in every column: a third of a large
+    # table is a third of its splits. It also needs no column, so unused ones are still pruned.
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *spread_by), F.lit(salts)).cast("int")
     salted_fact = (
         fact.join(F.broadcast(hot), key, "left")
         .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(F.lit(0)))
