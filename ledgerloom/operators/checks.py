@@ -117,7 +117,7 @@ def run_column_tests(tables: dict[str, DataFrame], tests: Sequence[ColumnTest])
         df, own = tables[name], [t for t in tests if t.table == name]
         row_wise = [t for t in own if t.kind in ("not_null", "accepted_values")]
         if row_wise:
-            totals = df.agg(*[_failures(t).alias(f"failures_{i}") for i, t in enumerate(row_wise)])
+            totals = _row_wise_failures(df, row_wise)
             entries = [_entry(t, F.col(f"failures_{i}")) for i, t in enumerate(row_wise)]
             results.append(totals.select(F.inline(F.array(*entries))))
         for test in own:
@@ -132,11 +132,24 @@ def run_column_tests(tables: dict[str, DataFrame], tests: Sequence[ColumnTest])
     return union_all(results).withColumn("passed", F.col("failures") == 0)
 
 
-def _failures(test: ColumnTest) -> Column:
-    value = F.col(f"`{test.column}`")
-    if test.kind == "not_null":
-        return F.count_if(value.isNull())
-    return F.count_distinct(F.when(~value.isin(*test.values), value))
+def _row_wise_failures(df: DataFrame, tests: Sequence[ColumnTest]) -> DataFrame:
+    """One row with the failures of every ``not_null`` and ``accepted_values`` test.
+
+    Columns with a value list have few values, so the table is first cut to one row per combination of them; the
+    distinct counts, which copy their input once each, then run on that small result.
+    """
+    numbered = list(enumerate(tests))
+    listed = [F.col(f"`{t.column}`").alias(f"value_{i}") for i, t in numbered if t.kind == "accepted_values"]
+    nulls = [F.count_if(F.col(f"`{t.column}`").isNull()).alias(f"nulls_{i}") for i, t in numbered if t.kind == "not_null"]
+    combinations = df.groupBy(*listed).agg(*(nulls or [F.count("*")]))
+
+    def failures(i: int, test: ColumnTest) -> Column:
+        if test.kind == "not_null":
+            return F.coalesce(F.sum(f"nulls_{i}"), F.lit(0))
+        value = F.col(f"value_{i}")
+        return F.count_distinct(F.when(~value.isin(*test.values), value))
+
+    return combinations.agg(*[failures(i, t).alias(f"failures_{i}") for i, t in numbered])
 
 
 def _entry(test: ColumnTest, failures: Column) -> Column:

@@ -107,7 +107,7 @@ def _statistics(counts: DataFrame, per_column: DataFrame) -> DataFrame:
 
 def _every_column(df: DataFrame, columns: Sequence[str], statistics: DataFrame) -> DataFrame:
     """A row for each column, also for one without any value."""
-    names = df.sparkSession.createDataFrame([(c,) for c in columns], "measure string")
+    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("measure"))
     return names.join(statistics, "measure", "left").na.fill(0, ["count", "iqr_outliers"])
 
 

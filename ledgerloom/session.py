@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # Checkpoint files go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
