@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import chat, exact_dedup, mixing, packing, sharding, token_records
+from ledgerloom.llm import chat, exact_dedup, mixing, neighbours, packing, sharding, token_records, toxicity
 from ledgerloom.llm.encoding import tokenizer_path
 from ledgerloom.llm.storage import new_folder
 
@@ -28,6 +28,11 @@ def op1_mix_sources(spark, folder):
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op3_toxicity(spark, folder):
+    return toxicity.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op4_exact_dedup(spark, folder):
     docs = table(spark, folder, "documents")
@@ -36,6 +41,12 @@ def op4_exact_dedup(spark, folder):
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query
+def op6_neighbours(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.search(vectors, is_query=F.col("vec_id") % 100 == 0, k=10)
+
+
 @query
 def op7_shard(spark, folder):
     return sharding.shard_documents(table(spark, folder, "documents"), shards=40)
