@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import exact_dedup, mixing, packing, toxicity
+from ledgerloom.llm import exact_dedup, mixing, ngram_join, packing, toxicity
 from ledgerloom.llm.encoding import tokenizer_path
 from ledgerloom.llm.storage import new_folder
 
@@ -17,6 +17,10 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.one_of_each_group(docs, words=5, percent=80)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
@@ -28,6 +32,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("exact dedup", drop_copies),
+    ("n-gram Jaccard join", drop_near_copies),
     ("mixing sources", mix_sources),
     ("best-fit packing", pack),
 ]

@@ -46,4 +46,58 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
-ORACLE_SQL = {"op1_mix_sources": MIX, "op4_exact_dedup": EXACT_DEDUP}
+SUBSTRING_DEDUP = f"""
+WITH split AS (
+    SELECT doc_id, coalesce(regexp_extract_all(text, '{WORD}'), []) AS words FROM documents
+), runs AS (
+    SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS start FROM split
+), hashed AS (
+    SELECT doc_id, start, md5(array_to_string(words[start:start + 19], ' ')) AS run FROM runs
+), ranked AS (
+    SELECT doc_id, start, row_number() OVER (PARTITION BY run ORDER BY doc_id, start) AS occurrence FROM hashed
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(start, start + 20)) AS place FROM ranked WHERE occurrence > 1
+), lists AS (
+    SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id
+), kept AS (
+    SELECT s.doc_id, s.words,
+        [s.words[i] FOR i IN range(1, len(s.words) + 1) IF NOT list_contains(coalesce(l.places, []), i)] AS kept
+    FROM split s LEFT JOIN lists l USING (doc_id)
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - len(kept))::BIGINT AS n_removed,
+    sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256
+FROM kept
+"""
+
+NGRAM_JOIN = f"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, coalesce(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}'), []) AS words
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(words[start:start + 2], ' ') AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, least(len(words), 1) + 1))) AS start FROM split)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS one, b.doc_id AS two, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT o.one, o.two FROM shared o JOIN sizes a ON a.doc_id = o.one JOIN sizes b ON b.doc_id = o.two
+    WHERE 100 * o.n >= 90 * (a.n + b.n - o.n)
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION SELECT r.doc_id, l.two FROM reached r JOIN links l ON l.one = r.other
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id, coalesce(l.n, 0) AS n_links
+FROM documents d LEFT JOIN sizes s USING (doc_id)
+JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) r USING (doc_id)
+LEFT JOIN (SELECT one AS doc_id, count(*) AS n FROM links GROUP BY one) l USING (doc_id)
+"""
+
+ORACLE_SQL = {
+    "op1_mix_sources": MIX,
+    "op2_substring_dedup": SUBSTRING_DEDUP,
+    "op4_exact_dedup": EXACT_DEDUP,
+    "op8_ngram_join": NGRAM_JOIN,
+}

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import chat, exact_dedup, mixing, neighbours, packing, sharding, token_records, toxicity
+import corpus_pipeline
+from ledgerloom.llm import chat, exact_dedup, mixing, neighbours, ngram_join, packing, sharding, substring_dedup, token_records, toxicity
 from ledgerloom.llm.encoding import tokenizer_path
 from ledgerloom.llm.storage import new_folder
 
@@ -28,6 +29,12 @@ def op1_mix_sources(spark, folder):
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op2_substring_dedup(spark, folder):
+    kept = substring_dedup.remove_repeats(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query
 def op3_toxicity(spark, folder):
     return toxicity.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -64,6 +71,11 @@ def op5_chat_format(spark, folder):
     return chat.read_back(chat.format_conversations(rows.unionByName(planted), tokenizer_path("byte_bpe_50k.json")))
 
 
+@query
+def op8_ngram_join(spark, folder):
+    return ngram_join.similar_groups(table(spark, folder, "documents"))
+
+
 @query
 def op9_token_records(spark, folder):
     target = new_folder(spark, "token-records")
@@ -76,3 +88,8 @@ def op9_token_records(spark, folder):
 @query
 def op10_pack(spark, folder):
     return packing.pack(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query
+def pipeline(spark, folder):
+    return corpus_pipeline.run(spark, folder)
