@@ -31,7 +31,7 @@ WINDOW, GRAM = 20, 4
 FILTER_BITS = 1 << 27
 BUFFER = 1_500_000
 WORDS = re.compile(WORD)
-RUN = "run long, check int, doc_id long, tie long, start int, runs int"
+RUN = "run long, doc_id long, tie long, packed long"
 
 
 def anchors(words: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -100,7 +100,10 @@ class Block:
         self.held += len(start)
 
     def parsed(self) -> pd.DataFrame:
-        """Runs that are first in the block, and factors of those that are not, with a random ``run`` of their own."""
+        """Runs that are first in the block, and factors of those that are not, with a random ``run`` of their own.
+
+        ``packed`` is a second hash and the start, or, below zero, a factor's number of runs and its start.
+        """
         sequence = sorted(range(len(self.names)), key=lambda k: (self.names[k][0] is not None, *((self.names[k][0] or 0), self.names[k][1])))
         lengths = np.array([len(self.starts[k]) for k in sequence])
         # Documents equal in id and text are one document to the order: none is earlier than the other.
@@ -129,17 +132,16 @@ class Block:
         return pd.DataFrame(
             {
                 "run": hashed,
-                "check": second_hash(run[pick]),
                 "doc_id": pd.array([n for n, _ in names], dtype="Int64"),
                 "tie": [t for _, t in names],
-                "start": start[pick].astype(np.int32),
-                "runs": np.concatenate([np.zeros(len(new), np.int32), np.array([n for _, n in spans], np.int32)]),
+                "packed": np.concatenate([(second_hash(run[new]) << 32) + start[new], -1 - (np.array([n for _, n in spans], np.int64) << 32) - start[at]]),
             }
         )
 
 
 def second_hash(run: np.ndarray) -> np.ndarray:
-    return (mixed(run + np.uint64(BASE)) >> np.uint64(33)).astype(np.int32)
+    """31 bits more, so that different runs do not meet."""
+    return (mixed(run + np.uint64(BASE)) >> np.uint64(33)).astype(np.int64)
 
 
 def tie(text: Column) -> Column:
@@ -169,9 +171,15 @@ def found_runs(docs: DataFrame, window: int, gram: int, bits: int) -> DataFrame:
             yield block.parsed()
 
     rows = docs.select("doc_id", "text").mapInPandas(parsed, RUN)
+    factor = F.col("packed") < 0
+    whole = F.when(factor, -1 - F.col("packed")).otherwise(F.col("packed"))
+    met = rows.repartition("run").select(
+        "run", "doc_id", "tie", factor.alias("factor"), F.shiftright(whole, 32).alias("upper"), whole.bitwiseAND(F.lit(0xFFFFFFFF)).alias("start")
+    )
     here = F.struct("doc_id", "tie", "start")
-    earliest = F.min(here).over(Window.partitionBy("run", "check"))
-    return rows.withColumn("earlier", (F.col("runs") > 0) | (earliest < here)).where("earlier").select("doc_id", "tie", "start", F.greatest("runs", F.lit(1)).alias("runs"))
+    earliest = F.min(here).over(Window.partitionBy("run", "upper"))
+    earlier = met.withColumn("earlier", F.col("factor") | (earliest < here)).where("earlier")
+    return earlier.select("doc_id", "tie", "start", F.when(F.col("factor"), F.col("upper")).otherwise(F.lit(1)).alias("runs"))
 
 
 def cover(n_words: int, spans: np.ndarray, window: int) -> np.ndarray:
@@ -194,7 +202,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits
     block. The texts are shuffled once to meet their spans.
     """
     slim = docs.select(quoted(doc_id).cast("long").alias("doc_id"), quoted(text).alias("text"))
-    span = F.shiftleft(F.col("start").cast("long"), 32) + F.col("runs")
+    span = F.shiftleft(F.col("start"), 32) + F.col("runs")
     spans = found_runs(slim, window, gram, bits).groupBy("doc_id", "tie").agg(F.collect_list(span).alias("spans"))
     spans = spans.select(F.col("doc_id").alias("span_id"), F.col("tie").alias("span_tie"), "spans")
     known = slim.withColumn("tie", tie(F.col("text")))
