@@ -25,7 +25,7 @@ DIGIT = "0-9²³¹¼-¾"
 BYTES = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{LETTER}]+| ?[{DIGIT}]+| ?[^\s{LETTER}{DIGIT}]+|\s+(?!\S)|\s+")
 WORDS = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{LETTER}]+|[{DIGIT}]|[^\s{LETTER}{DIGIT}]+")
 WIDE_BLANKS = re.compile(r" \s| \Z")
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 BATCH_CHARS = 1_000_000
 
 

@@ -21,7 +21,7 @@ from ledgerloom.llm.columns import quoted
 from ledgerloom.llm.encoding import encoder
 from ledgerloom.llm.prefix import prefix_sums
 
-FILE_BYTES = 64 << 20
+FILE_BYTES = 16 << 20
 MASK_DELTA = 0xA282EAD8
 HEADER = struct.Struct("<QI")
 PREFIX = struct.Struct("<BBq")
