@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.llm.bit_filter import bit_filter, may_hold
 from ledgerloom.llm.columns import quoted, text_or_empty, whole_row
+from ledgerloom.llm.storage import checkpointed
 
 PREFIX = 64
 
@@ -46,7 +47,8 @@ def copy_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", car
     key is hot.
     """
     candidate = _candidates(docs, text)
-    groups = _groups(docs.where(candidate), doc_id, text)
+    # A stored side lets Spark split the other one where a key is hot.
+    groups = checkpointed(_groups(docs.where(candidate), doc_id, text))
     alone = F.concat(F.lit("alone:"), F.coalesce(quoted(doc_id).cast("string"), F.lit("null")))
     slim = docs.select(
         quoted(doc_id).alias("doc_id"),
@@ -71,7 +73,7 @@ def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """
     candidate = _candidates(docs, text)
     candidates = docs.where(candidate)
-    groups = _groups(candidates, doc_id, text)
+    groups = checkpointed(_groups(candidates, doc_id, text))
     joined = candidates.select(whole_row(docs), _key(text).alias("key"), quoted(doc_id).alias("own_id")).join(groups, "key", "left")
     unique = joined.where(F.col("group_size").isNull()).select("row.*")
     # Rows that repeat the id that stays are equal in id and text: any of them is the document.
