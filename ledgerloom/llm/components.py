@@ -14,6 +14,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     change. A hot node is aggregated before the shuffle, and Spark splits the joins on it. Edges from a node to
     itself only name the node.
     """
+    edges = checkpointed(edges)
     named = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     current = checkpointed(_downward(edges))
     state = _state(current)
