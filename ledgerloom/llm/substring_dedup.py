@@ -29,7 +29,7 @@ from ledgerloom.llm.hashing import BASE, mixed, run_hashes, sliding, word_hashes
 
 WINDOW, GRAM = 20, 4
 FILTER_BITS = 1 << 27
-BUFFER = 1_500_000
+BUFFER = 800_000
 WORDS = re.compile(WORD)
 RUN = "run long, doc_id long, tie long, packed long"
 
