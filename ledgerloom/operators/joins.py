@@ -1,107 +1,18 @@
-"""Joins of a large fact table with a lookup table, and existence checks."""
+"""Existence checks between tables."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, functions as F
-
-HOT_SHARE = 0.001
-_UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30, "gb": 2**30}
-
-
-def _bytes(text: str) -> int:
-    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", text.strip().lower()).groups()
-    return int(number) * _UNITS[unit]
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate: stored size, scaled by the columns in use, as if no filter removed rows.
-
-    For a join it is the product of both sides, so only a frame without joins is ever found small.
-    """
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Is the estimate below the session's broadcast threshold?"""
-    return estimated_bytes(df) <= _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-
-
-def spread_if_small(scan: DataFrame) -> DataFrame:
-    """Spread a scan of less than one file split over all cores.
-
-    Such a file is often a single row group, which one task reads and then processes alone. A scan of many
-    splits is left as it is: spreading it would be a shuffle of the whole table.
-    """
-    spark = scan.sparkSession
-    if estimated_bytes(scan) > _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")):
-        return scan
-    return scan.repartition(spark.sparkContext.defaultParallelism)
-
-
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys that may hold more than ``share`` of the rows: one pass, at most ``1 / share`` keys, none missed."""
-    found = df.select(key).where(F.col(key).isNotNull()).freqItems([key], share)
-    return found.select(F.explode(f"{key}_freqItems").alias(key))
-
-
-def lookup_join(
-    fact: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    how: str = "left",
-    hot_source: DataFrame | None = None,
-    spread_by: Sequence[str] = (),
-    salts: int | None = None,
-    force_salting: bool = False,
-) -> DataFrame:
-    """Join ``fact`` with ``lookup`` on ``key``, whatever the size of the lookup and the skew of the key.
-
-    A lookup below the session's broadcast threshold is left to Spark, which broadcasts it. Beyond that, both
-    sides are shuffled, and only the hot keys are salted: their fact rows are spread over all shuffle
-    partitions and their lookup rows are copied to each. ``hot_source`` is a cheaper frame to find the hot keys
-    in, such as the bare scan below ``fact``; which keys are called hot changes the speed, never the result.
-    ``spread_by`` adds columns to the spread where a hot key may sit in few partitions.
-    """
-    if how not in ("inner", "left"):
-        raise ValueError("only inner and left joins keep the fact side whole")
-    if not force_salting and fits_broadcast(lookup):
-        return fact.join(lookup, key, how)
-
-    salts = salts or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys(hot_source if hot_source is not None else fact, key).withColumn("_hot", F.lit(True))
-    # The spread must come out the same when a lost task runs again, so it uses no random number and no row
-    # position. The partition a row sits in spreads even rows that are equal in every column: a third of a large
-    # table is a third of its splits. It also needs no column, so unused ones are still pruned.
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *spread_by), F.lit(salts)).cast("int")
-    salted_fact = (
-        fact.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_lookup = (
-        lookup.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
-    )
-    return salted_fact.join(salted_lookup, [key, "_salt"], how).drop("_salt")
+from pyspark.sql import DataFrame, functions as F
 
 
 def orphan_keys(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child keys without a parent, as ``key`` and number of ``rows``. NULL counts as a key like any other.
 
-    The child is counted per key before the join, so a hot key is one row by the time it is shuffled. Keys are
-    boxed in a struct, which makes NULL equal NULL and lets the join use the partitioning of both aggregations.
+    The child is counted per key before the join, so a hot key is one row by the time it is shuffled. The join is on
+    the bare key, so stored bucketing and earlier partitioning serve it.
     """
     kinds = child.schema[child_key].dataType, parent.schema[parent_key].dataType
     kind = kinds[0] if kinds[0] == kinds[1] else "string"
-
-    def boxed(name: str) -> Column:
-        return F.struct(F.col(f"`{name}`").cast(kind).alias("key")).alias("boxed")
-
-    counted = child.groupBy(boxed(child_key)).agg(F.count("*").alias("rows"))
-    known = parent.select(boxed(parent_key)).distinct()
-    return counted.join(known, "boxed", "left_anti").select("boxed.key", "rows")
+    counted = child.groupBy(F.col(f"`{child_key}`").cast(kind).alias("key")).agg(F.count("*").alias("rows"))
+    known = parent.select(F.col(f"`{parent_key}`").cast(kind).alias("known_key")).distinct()
+    return counted.join(known, F.col("key").eqNullSafe(F.col("known_key")), "left_anti").select("key", "rows")

@@ -14,7 +14,6 @@ from ledgerloom.operators.storage import materialise
 MAX_RANGES = 512
 KEYS_PER_RANGE = 50_000
 SAMPLE_ROWS = 16384
-WIDE, COMPACT = "decimal(28,6)", "decimal(18,6)"
 
 
 def _range_bounds(keys: DataFrame, totals: DataFrame) -> DataFrame:
@@ -71,14 +70,21 @@ def keys_at_ranks(keys: DataFrame, totals: DataFrame, ranks: DataFrame) -> DataF
 
 
 def _value_type(df: DataFrame, measures: dict[str, Column]) -> str:
-    """One decimal type for all measures. Eighteen digits are a long inside; more are not."""
+    """One type that holds all measures without loss: a decimal for whole numbers and decimals, else a double.
 
-    def fits(kind: T.DataType) -> bool:
+    Whole numbers next to doubles, and decimals that need more than 38 digits together, are compared as doubles.
+    """
+    whole = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+    before, after = 1, 0
+    for field in df.select(*measures.values()).schema:
+        kind = field.dataType
         if isinstance(kind, T.DecimalType):
-            return kind.scale <= 6 and kind.precision - kind.scale <= 12
-        return isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType))
-
-    return COMPACT if all(fits(f.dataType) for f in df.select(*measures.values()).schema) else WIDE
+            before, after = max(before, kind.precision - kind.scale), max(after, kind.scale)
+        elif type(kind) in whole:
+            before = max(before, whole[type(kind)])
+        else:
+            return "double"
+    return f"decimal({before + after},{after})" if before + after <= 38 else "double"
 
 
 def _long(df: DataFrame, measures: dict[str, Column], kind: str, *extra: str) -> DataFrame:
@@ -178,7 +184,7 @@ def bins_by_quantile(df: DataFrame, measures: dict[str, Column], bins: int = 5)
 
     def bin_of(name: str, c: Column) -> Column:
         own = F.try_element_at(F.col("_edges"), F.lit(name))
-        value = c.cast(WIDE).cast("double")
+        value = c.cast("double")
         number = F.size(F.filter(F.slice(own, 2, bins - 1), lambda e: e < value)) + 1
         repeated = F.size(F.array_distinct(own)) < bins + 1
         return (

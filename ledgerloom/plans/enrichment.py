@@ -11,20 +11,16 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerloom.functions import measures as m
 from ledgerloom.functions.calendar import calendar_columns, parse_date_or_null
 from ledgerloom.operators.dedup import keep_first
-from ledgerloom.operators.joins import lookup_join
 
 CALENDAR = ("year", "quarter", "month", "month_name", "week", "year_month", "year_quarter", "fiscal_year", "fiscal_quarter")
 
 
-def int_orders_enriched(orders: DataFrame, products: DataFrame, order_keys: DataFrame | None = None) -> DataFrame:
-    """Lineage B: staged orders with product attributes, measures, date attributes and discount tier.
-
-    ``order_keys``: a cheaper frame with the order and product ids, to find hot ones in (see ``lookup_join``).
-    """
+def int_orders_enriched(orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Lineage B: staged orders with product attributes, measures, date attributes and discount tier."""
     attributes = products.select(
         "product_id", "product_name", "category", "sub_category", "brand", "unit_cost", "list_price", "product_margin_pct"
     )
-    joined = lookup_join(orders, attributes, "product_id", "left", hot_source=order_keys)
+    joined = orders.join(attributes, "product_id", "left")
     measured = (
         joined.withColumn("discount_amount", m.discount_amount())
         .withColumn("cogs", m.cogs())
@@ -48,31 +44,30 @@ def int_orders_enriched(orders: DataFrame, products: DataFrame, order_keys: Data
 def fct_orders(
     enriched: DataFrame,
     returns: DataFrame,
-    on_duplicate_returns: str = "first",
-    order_keys: DataFrame | None = None,
+    on_duplicate_returns: str = "fan_out",
 ) -> DataFrame:
     """Lineage B: the fact table, one row per staged order, with ``is_return`` and ``return_reason``.
 
-    Returns are declared to hold an order once. ``first`` enforces that with the earliest return, so the fact
-    keeps its grain; ``fan_out`` joins the returns as they are, one fact row per return.
+    ``fan_out`` joins the returns as they are: an order that was returned twice has two rows, which the uniqueness
+    test on the order id then reports. ``first`` keeps only the earliest return of an order.
     """
     if on_duplicate_returns == "first":
         returns = keep_first(returns, ["order_id"], ["return_date", "return_reason"])
     elif on_duplicate_returns != "fan_out":
         raise ValueError("on_duplicate_returns must be 'first' or 'fan_out'")
     flags = returns.select("order_id", F.lit(1).alias("is_return"), "return_reason")
-    joined = lookup_join(enriched, flags, "order_id", "left", hot_source=order_keys)
+    joined = enriched.join(flags, "order_id", "left")
     return joined.select(
         *enriched.columns, F.coalesce("is_return", F.lit(0)).alias("is_return"), "return_reason"
     )
 
 
-def orders_enriched(orders: DataFrame, products: DataFrame, order_keys: DataFrame | None = None) -> DataFrame:
+def orders_enriched(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Lineage A: cleaned orders with product cost and measures; the margin is an unrounded double."""
     attributes = products.select(
         "product_id", "unit_cost", "list_price", "category", "sub_category", "brand", "product_margin_pct"
     )
-    joined = lookup_join(orders, attributes, "product_id", "left", hot_source=order_keys)
+    joined = orders.join(attributes, "product_id", "left")
     return (
         joined.withColumn("gross_revenue", m.gross_revenue())
         .withColumn("discount_amount", m.discount_amount())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.config import RetailConfig
@@ -244,7 +246,7 @@ def headline_numbers(enriched: DataFrame, analytics: DataFrame, config: RetailCo
         .withColumn("compression", F.round(c("full_price_margin") - c("deep_margin"), 9))
         .withColumn("segments", segments)
     )
-    threshold = f"{int(float(config.deep_discount) * 100)}%+"
+    threshold = f"{int(Decimal(str(config.deep_discount)) * 100)}%+"
     return _report(
         totals,
         "metric",

@@ -24,21 +24,26 @@ def mart_commercial_kpis(fct: DataFrame, unique_order_ids: bool = False) -> Data
     the groups instead of being shuffled with every row. ``unique_order_ids`` promises that no order id occurs
     twice; then orders are counted without a distinct count.
     """
-    order_count = F.count("order_id") if unique_order_ids else F.count_distinct("order_id")
     dimensions = ["country", "channel", "category", "sub_category", "brand", "disc_tier"]
-    # The distinct counts copy each row once per count, sum buffers included, so only what cannot be derived
-    # is summed: the discount amount is gross less net, and staged measures are never NULL.
-    groups = fct.groupBy("year", "month", *dimensions).agg(
-        order_count.alias("total_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.sum("quantity").alias("total_units"),
-        F.sum("gross_revenue").alias("gross"),
-        F.sum("net_revenue").alias("net"),
-        F.sum("cogs").alias("costs"),
-        F.sum("gross_profit").alias("profit"),
-        F.sum("discount").alias("discounts"),
-        F.sum("is_return").alias("total_returns"),
-        F.count("*").alias("rows"),
+    keys = ["year", "month", *dimensions]
+    # Only what cannot be derived is summed: the discount amount is gross less net, and staged measures are never
+    # NULL. Orders and customers are counted in steps, each a plain aggregation: an order id has one row after the
+    # first, a customer after the second.
+    summed = {"quantity": "total_units", "gross_revenue": "gross", "net_revenue": "net", "cogs": "costs", "gross_profit": "profit", "discount": "discounts", "is_return": "total_returns"}
+    sums = [F.sum(column).alias(name) for column, name in summed.items()]
+    again = [F.sum(name).alias(name) for name in (*summed.values(), "rows")]
+    known = F.when(F.col("order_id").isNotNull(), 1).otherwise(0)
+    if unique_order_ids:
+        orders = fct.withColumn("known", known)
+        per_customer = orders.groupBy(*keys, "customer_id").agg(F.sum("known").alias("orders"), *sums, F.count("*").alias("rows"))
+    else:
+        per_order = fct.groupBy(*keys, "customer_id", "order_id").agg(*sums, F.count("*").alias("rows"))
+        first = F.when(F.row_number().over(Window.partitionBy(*keys, "order_id").orderBy("customer_id")) == 1, known)
+        per_customer = per_order.withColumn("known", first).groupBy(*keys, "customer_id").agg(
+            F.coalesce(F.sum("known"), F.lit(0)).alias("orders"), *again
+        )
+    groups = per_customer.groupBy(*keys).agg(
+        F.sum("orders").alias("total_orders"), F.count("customer_id").alias("unique_customers"), *again
     )
     c = F.col
     quarter = F.ceil(c("month") / 3).cast("int")

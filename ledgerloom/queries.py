@@ -65,12 +65,26 @@ def stg_sales_targets(t):
 
 @query
 def int_orders_enriched(t):
-    return enrichment.int_orders_enriched(stg_orders(t), stg_products(t), t.order_keys)
+    return enrichment.int_orders_enriched(stg_orders(t), stg_products(t))
 
 
 @query
 def fct_orders(t):
-    return enrichment.fct_orders(int_orders_enriched(t), stg_returns(t), order_keys=t.order_keys)
+    return enrichment.fct_orders(int_orders_enriched(t), stg_returns(t))
+
+
+@query
+def fct_orders_first_return(t):
+    return enrichment.fct_orders(int_orders_enriched(t), stg_returns(t), on_duplicate_returns="first")
+
+
+@query
+def strip_text(t):
+    """White space of many kinds around customer names goes, inside it stays."""
+    blanks = F.array(*[F.lit(b) for b in ("\u00a0", "\u3000", "\t \x1f", "\u2003\u0085")])
+    blank = F.element_at(blanks, (F.pmod(F.col("customer_id"), F.lit(4)) + 1).cast("int"))
+    padded = F.concat(blank, F.col("customer_name"), blank, F.col("city"), blank)
+    return t.customers.select("customer_id", text.strip(padded).alias("stripped"))
 
 
 @query
@@ -242,7 +256,7 @@ def parse_date_tolerant(t):
 
 @query
 def orders_enriched(t):
-    return enrichment.orders_enriched(clean_orders(t), clean_products(t), t.order_keys)
+    return enrichment.orders_enriched(clean_orders(t), clean_products(t))
 
 
 @query

@@ -1,7 +1,7 @@
 """The five raw retail tables, derived from order tables in the TPC-H style.
 
 Grain and dirt are kept on purpose: order ids repeat, some orders ship before they are placed, some carry
-impossible quantities and discounts, and some products and targets are missing.
+impossible quantities and discounts, and some name a product or a country that no other table knows.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.config import RetailConfig
-from ledgerloom.operators.joins import lookup_join, spread_if_small
 from ledgerloom.sources.tables import TABLES, read_parquet
 
 ORDER_COLUMNS = [
@@ -20,8 +19,8 @@ ORDER_COLUMNS = [
     "cast(o_orderdate AS date) AS order_date",
     "cast(l_shipdate AS date) AS ship_date",
     "o_custkey AS customer_id",
-    "l_partkey AS product_id",
-    "n_name AS country",
+    "CASE WHEN l_partkey % 53 = 7 THEN -l_partkey ELSE l_partkey END AS product_id",
+    "CASE WHEN o_custkey % 41 = 5 THEN 'Atlantis' ELSE n_name END AS country",
     "CASE o_orderstatus WHEN 'F' THEN 'Web' WHEN 'O' THEN 'Mobile App' ELSE 'Marketplace' END AS channel",
     "cast(l_quantity AS int) % 7 AS quantity",
     "cast(p_retailprice AS decimal(12,2)) AS unit_price",
@@ -100,25 +99,16 @@ class RetailTables:
         )
         parts = self.read("part").selectExpr("p_partkey AS l_partkey", "p_retailprice")
         people = self.read("customer").selectExpr("c_custkey AS o_custkey", "c_nationkey")
-        joined = lookup_join(spread_if_small(lines), heads, "l_orderkey", "inner", hot_source=lines)
-        joined = lookup_join(joined, parts, "l_partkey", "inner", hot_source=lines)
-        joined = lookup_join(joined, people, "o_custkey", "inner", hot_source=heads)
-        joined = lookup_join(joined, self._nations, "c_nationkey", "inner", hot_source=people)
-        return joined.selectExpr(*ORDER_COLUMNS)
-
-    @property
-    def order_keys(self) -> DataFrame:
-        """Order and product id of every line, straight from the file."""
-        return self.read("lineitem").selectExpr("l_orderkey * 10 + l_linenumber AS order_id", "l_partkey AS product_id")
+        joined = lines.join(heads, "l_orderkey").join(parts, "l_partkey").join(people, "o_custkey")
+        return joined.join(self._nations, "c_nationkey").selectExpr(*ORDER_COLUMNS)
 
     @cached_property
     def products(self) -> DataFrame:
-        """Parts of size 7 have no entry in the product master, so some orders have no product."""
-        return self.read("part").where("p_size <> 7").selectExpr(*PRODUCT_COLUMNS)
+        return self.read("part").selectExpr(*PRODUCT_COLUMNS)
 
     @cached_property
     def customers(self) -> DataFrame:
-        people = lookup_join(self.read("customer"), self._nations, "c_nationkey", "inner")
+        people = self.read("customer").join(self._nations, "c_nationkey")
         return people.selectExpr(*CUSTOMER_COLUMNS)
 
     @cached_property
@@ -127,10 +117,10 @@ class RetailTables:
 
     @cached_property
     def sales_targets(self) -> DataFrame:
-        """One target per nation and calendar month that has orders; nation 24 gets none."""
+        """One target per nation and calendar month that has orders."""
         month = F.date_format("o_orderdate", "yyyy-MM")
         months = self.read("orders").agg(F.sort_array(F.collect_set(month))).scalar()
-        nations = self.read("nation").where("n_nationkey <> 24")
+        nations = self.read("nation")
         return nations.select(
             "n_nationkey", F.col("n_name").alias("country"), F.explode(months).alias("year-month")
         ).selectExpr(*TARGET_COLUMNS)

@@ -77,8 +77,9 @@ def _bin(measure: str) -> str:
 CTES: dict[str, str] = {
     "raw_orders": """
         SELECT l_orderkey * 10 + l_linenumber AS order_id, CAST(o_orderdate AS DATE) AS order_date,
-               CAST(l_shipdate AS DATE) AS ship_date, o_custkey AS customer_id, l_partkey AS product_id,
-               n_name AS country,
+               CAST(l_shipdate AS DATE) AS ship_date, o_custkey AS customer_id,
+               CASE WHEN l_partkey % 53 = 7 THEN -l_partkey ELSE l_partkey END AS product_id,
+               CASE WHEN o_custkey % 41 = 5 THEN 'Atlantis' ELSE n_name END AS country,
                CASE o_orderstatus WHEN 'F' THEN 'Web' WHEN 'O' THEN 'Mobile App' ELSE 'Marketplace' END AS channel,
                CAST(l_quantity AS INTEGER) % 7 AS quantity,
                CAST(p_retailprice AS DECIMAL(12,2)) AS unit_price,
@@ -94,7 +95,7 @@ CTES: dict[str, str] = {
                CAST(CAST(p_retailprice AS DECIMAL(12,2)) * CAST(40 + p_size % 20 AS DECIMAL(4,0))
                     * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(14,4)) AS unit_cost,
                CAST(p_retailprice AS DECIMAL(12,2)) AS list_price, DATE '1990-01-01' AS launch_date
-        FROM part WHERE p_size <> 7""",
+        FROM part""",
     "raw_customers": """
         SELECT c_custkey AS customer_id, c_name AS customer_name, c_mktsegment AS segment, n_name AS country,
                'City ' || CAST(c_nationkey AS VARCHAR) AS city, DATE '1990-01-01' AS acquisition_date,
@@ -109,8 +110,7 @@ CTES: dict[str, str] = {
         SELECT n_name AS country, year_month,
                CAST(10000 + 1000 * n_nationkey + 500 * CAST(split_part(year_month, '-', 2) AS INTEGER)
                     AS DECIMAL(12,2)) AS target_revenue
-        FROM nation, (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS year_month FROM orders)
-        WHERE n_nationkey <> 24""",
+        FROM nation, (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS year_month FROM orders)""",
     "stg_orders": """
         SELECT order_id, customer_id, product_id, order_date, ship_date, country, channel, payment_method, quantity,
                unit_price, discount, shipping_cost, CAST(ship_date - order_date AS INTEGER) AS shipping_days,
@@ -145,6 +145,10 @@ CTES: dict[str, str] = {
         SELECT order_id, return_date, reason FROM raw_returns
         QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY return_date, reason) = 1""",
     "fct_orders": """
+        SELECT o.*, CAST(CASE WHEN r.order_id IS NULL THEN 0 ELSE 1 END AS INTEGER) AS is_return,
+               r.reason AS return_reason
+        FROM int_orders_enriched o LEFT JOIN raw_returns r USING (order_id)""",
+    "fct_orders_first_return": """
         SELECT o.*, CAST(CASE WHEN r.order_id IS NULL THEN 0 ELSE 1 END AS INTEGER) AS is_return,
                r.reason AS return_reason
         FROM int_orders_enriched o LEFT JOIN first_returns r USING (order_id)""",

@@ -333,6 +333,9 @@ SELECT * REPLACE ({_doubles("unit_price", "discount", "shipping_cost")}) FROM cl
 _FINAL["clean_products"] = f"SELECT * REPLACE ({_doubles('unit_cost', 'list_price')}) FROM clean_products"
 _FINAL["clean_customers"] = f"""
 SELECT * REPLACE ({title_list("segment")} AS segment, {title_list("country")} AS country) FROM raw_customers"""
+_FINAL["fct_orders_first_return"] = "SELECT * FROM fct_orders_first_return"
+_BLANK = "(CASE customer_id % 4 WHEN 0 THEN chr(160) WHEN 1 THEN chr(12288) WHEN 2 THEN chr(9) || ' ' || chr(31) ELSE chr(8195) || chr(133) END)"
+_FINAL["strip_text"] = f"""SELECT customer_id, customer_name || {_BLANK} || city AS stripped FROM raw_customers"""
 _FINAL["clean_returns"] = "SELECT * FROM first_returns"
 _FINAL["clean_targets"] = f"SELECT * REPLACE ({_doubles('target_revenue')}) FROM clean_targets"
 _FINAL["dedup_first"] = "SELECT * FROM first_returns"

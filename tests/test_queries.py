@@ -5,10 +5,13 @@ import re
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from ledgerloom.queries import QUERIES as OWN
 from tests.compare import differences, duckdb_over
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLE = queries(), oracle_sql()
+# Those of the corpus operators have tests of their own.
+ORACLE = {name: sql for name, sql in oracle_sql().items() if name in OWN}
+QUERIES = {name: query for name, query in queries().items() if name in OWN}
 
 
 @pytest.fixture(scope="module")
@@ -25,13 +28,24 @@ def test_query_equals_sql(spark, duck, name):
     assert differences(QUERIES[name](spark, FOLDER), duck, ORACLE[name]) == []
 
 
-@pytest.mark.parametrize("name", ["fct_orders", "mart_country_targets", "country_kpis", "quality_report", "kpis_commercial"])
-def test_query_equals_sql_beyond_broadcast(spark, duck, name):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+@pytest.mark.parametrize("name", ["fct_orders", "mart_commercial_kpis", "country_kpis", "quality_report", "orders_enriched"])
+def test_query_equals_sql_beyond_broadcast_and_without_reuse(spark, duck, name):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.exchange.reuse": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         assert differences(QUERIES[name](spark, FOLDER), duck, ORACLE[name]) == []
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for key in settings:
+            spark.conf.unset(key)
+
+
+def test_rules_are_applied_before_the_first_join_and_lines_are_scanned_once(spark):
+    plan = QUERIES["stg_orders"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_shipdate") and plan.count("l_linenumber#") and plan.count("Relation [l_orderkey") == 1
+    deepest = max((len(line) - len(line.lstrip(" :+-")), k) for k, line in enumerate(plan.splitlines()) if "l_discount" in line and "Filter" in line)
+    joins = [len(line) - len(line.lstrip(" :+-")) for line in plan.splitlines() if "Join" in line]
+    assert deepest[0] > max(joins)
 
 
 def test_entry(spark):
