@@ -25,8 +25,7 @@ from ledgerloom.llm.storage import checkpointed
 WORDS = 3
 PERCENT = 90
 BLOCK = 512  # sets in a block of the product
-SPARE = 2  # parts more than needed where there are many parts, so that empty parts need no signature
-MANY = 20
+NEEDED_PER_SPARE = 3  # one part more than needed for so many, so that the weakest parts need no signature
 BUFFER = 1_000_000
 DENSE = 16  # a shingle in more sets of a block than this is a column of a dense product
 COLUMNS = 4096
@@ -65,8 +64,10 @@ def part_signatures(shingles: np.ndarray, size_class: int, first: np.ndarray, bo
     """Signatures of a set's parts, as signed 64-bit numbers.
 
     Scheme c compares sets whose smaller one is in class c, so a set takes part in the schemes of its own class and
-    of the class below. Where there are spare parts, agreeing parts that are empty are too few to be the only ones;
-    only a set with more empty parts than spare ones also names them.
+    of the class below. With n spare parts, linked sets agree in n + 1 parts or more. Every set leaves out its n
+    weakest parts, by number of shingles and then by signature, which are the same in agreeing parts: the strongest
+    agreeing part has n agreeing parts below it, so neither set leaves it out. Parts of no or one shingle, which
+    sets that are not alike often share, are thus rarely named.
     """
     out = []
     chosen, content = mixed(shingles ^ np.uint64(BASE)), mixed(shingles)
@@ -74,16 +75,16 @@ def part_signatures(shingles: np.ndarray, size_class: int, first: np.ndarray, bo
     for scheme in (size_class - 1, size_class):
         if scheme < 0:
             continue
-        differing = bounds.differing(int(first[scheme + 1]) - 1)
-        spare = SPARE if differing >= MANY else 0
-        parts = differing + 1 + spare
+        needed = bounds.differing(int(first[scheme + 1]) - 1) + 1
+        spare = needed // NEEDED_PER_SPARE
+        parts = needed + spare
         part = (chosen % np.uint64(parts)).astype(np.int64)
         held = np.bincount(part, minlength=parts)
         # Sums of fewer than 2**21 numbers of 32 bits are exact in doubles.
         lows, highs = np.bincount(part, low, parts).astype(np.uint64), np.bincount(part, high, parts).astype(np.uint64)
         name = np.arange(parts, dtype=np.uint64) + np.uint64((scheme + 1) << 32)
         signature = mixed(mixed(mixed(name) + lows) + mixed(highs + np.uint64(1)) + held.astype(np.uint64))
-        out.append(signature if (held == 0).sum() > spare else signature[held > 0])
+        out.append(signature[np.lexsort((signature, held))[spare:]])
     return np.concatenate(out).view(np.int64)
 
 

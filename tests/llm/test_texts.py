@@ -108,21 +108,22 @@ def test_groups_of_random_texts(make_docs, seed, block, monkeypatch):
         assert groups(make_docs(rows), words, percent) == plain_groups(rows, words, percent)
 
 
-def test_linked_sets_share_a_signature():
+@pytest.mark.parametrize("percent, loss", [(90, 5), (80, 3)])
+def test_linked_sets_share_a_signature(percent, loss):
     draw = random.Random(4)
-    bounds = ngram_join.Bounds(90)
+    bounds = ngram_join.Bounds(percent)
     first = bounds.classes(5000)
     signed = lambda s: set(ngram_join.part_signatures(np.array(sorted(s), np.uint64), int(np.searchsorted(first, len(s), "right")) - 1, first, bounds).tolist())
     for _ in range(300):
         n = draw.choice([1, 2, 5, 9, 10, 11, 19, 20, 100, 1000])
         one = {draw.getrandbits(64) for _ in range(n)}
         two = set(one)
-        for _ in range(draw.randint(0, n // 5 + 1)):
+        for _ in range(draw.randint(0, n // loss + 1)):
             if draw.random() < 0.5:
                 two.add(draw.getrandbits(64))
             elif len(two) > 1:
                 two.remove(draw.choice(sorted(two)))
-        if 100 * len(one & two) >= 90 * len(one | two):
+        if 100 * len(one & two) >= percent * len(one | two):
             assert signed(one) & signed(two)
 
 
