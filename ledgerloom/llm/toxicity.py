@@ -9,8 +9,7 @@ from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -91,23 +90,21 @@ def features(text: str | None, words: dict[str, float], stems: dict[str, float])
 
 
 def with_features(rows: DataFrame, words: dict[str, float], stems: dict[str, float]) -> DataFrame:
-    """Add the features to ``rows``, which has a column ``text``; the text itself goes no further."""
-    kept = [f for f in rows.schema.fields if f.name != "text"]
-    context = rows.sparkSession.sparkContext
-    lexicon = context.broadcast((words, stems))
+    """Add ``features`` to ``rows``, which has a column ``text``; the text itself goes no further.
 
-    def computed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Only the text is sent to Python, the other columns stay where they are. The function is called
+    non-deterministic, so that no filter on a score takes it into a second evaluation.
+    """
+    lexicon = rows.sparkSession.sparkContext.broadcast((words, stems))
+
+    @F.pandas_udf("array<double>")
+    def computed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         words, stems = lexicon.value
         for batch in batches:
-            values = pd.DataFrame([features(t, words, stems) for t in batch["text"]], columns=FEATURES, dtype=float)
-            yield pd.concat([batch[[f.name for f in kept]].reset_index(drop=True), values], axis=1)
-
-    from pyspark.sql import types as T
+            yield pd.Series([features(t, words, stems) for t in batch], dtype=object)
 
-    schema = T.StructType(kept + [T.StructField(f, T.DoubleType()) for f in FEATURES])
-    return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
-        rows.select(*[f.name for f in kept], "text").mapInPandas(computed, schema)
-    ).drop(*FEATURES)
+    measured = array_to_vector(computed.asNondeterministic()(F.col("text")))
+    return rows.withColumn("features", measured).drop("text")
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int, doc_id: str, text: str, label: str) -> DataFrame:
