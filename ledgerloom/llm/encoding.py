@@ -1,32 +1,29 @@
-"""Token ids of many texts with a public tokenizer, merging each distinct pre-token once.
+"""Token ids of whole texts with the public byte-pair tokenizers.
 
-Both tokenizers cut a text into pre-tokens before they merge anything, and the ids of a pre-token do not depend on
-its neighbours. So texts are cut here by the same rule, looked up, and only new pre-tokens go through the
-tokenizer's model; around that, whole words are remembered too. The rule is written out for Latin letters, digits
-and ASCII white space; any other text, or one that may hold a special token, goes through the tokenizer as it is.
+The tokenizer files are read once per Python process. Their merges are applied by a native merger that takes the same
+tokens as ranked byte strings; the files are checked for the form that this relies on. What the written-out rules do
+not cover goes through the tokenizer as it is.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
-from array import array
-from collections.abc import Callable, Sequence
-from itertools import chain
+from collections.abc import Sequence
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-SIMPLE = re.compile("[\t\n\r -~¡-įı-ɏ]*")  # without the capital I with a dot, whose lower case is two characters
+# How the byte-level tokenizer cuts a text into pre-tokens.
+BYTES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# How the word tokenizer cuts lower-case text, restricted to the characters of SIMPLE.
 LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 DIGIT = "0-9²³¹¼-¾"
-# How the two tokenizers cut a text, restricted to the characters of SIMPLE.
-BYTES = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{LETTER}]+| ?[{DIGIT}]+| ?[^\s{LETTER}{DIGIT}]+|\s+(?!\S)|\s+")
 WORDS = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{LETTER}]+|[{DIGIT}]|[^\s{LETTER}{DIGIT}]+")
-WIDE_BLANKS = re.compile(r" \s| \Z")
-REMEMBERED = 400_000
-BATCH_CHARS = 1_000_000
+SIMPLE = re.compile("[\t\n\r -~¡-įı-ɏ]*")  # without the capital I with a dot, whose lower case is two characters
+BLANKS = re.compile(r"[\t\n\r ]+")
 
 
 def tokenizer_path(name: str) -> str:
@@ -35,91 +32,106 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def _byte_chunks(text: str) -> list[str]:
-    """Parts of a text that end before a blank and a visible character: there a pre-token always begins."""
-    if WIDE_BLANKS.search(text):
-        return [text]
-    first, *others = text.split(" ")
-    return [first, *[" " + c for c in others]]
-
-
-class Known(dict):
-    """Chunk to its number; a new chunk is encoded when it is first asked for. Its ids: start[n] to start[n + 1]."""
-
-    def __init__(self, owner: Encoder):
-        self.owner, self.merged = owner, {}
-        self.ids, self.start = array("I"), array("q", [0])
-
-    def __missing__(self, chunk: str) -> int:
-        for pre_token in self.owner.cut(chunk):
-            ids = self.merged.get(pre_token)
-            if ids is None:
-                ids = self.merged[pre_token] = self.owner.merge(pre_token)
-            self.ids.extend(ids)
-        self.start.append(len(self.ids))
-        self[chunk] = number = len(self)
-        return number
+def byte_letters() -> dict[str, int]:
+    """The letters that stand for the 256 bytes: visible ones for themselves, the others in turn from U+0100 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {chr(b): b for b in visible} | {chr(256 + k): b for k, b in enumerate(hidden)}
+
+
+def tokens_of(path: str) -> tuple[dict, dict[str, int], list[str]]:
+    """The file, its tokens with their ids, and the special tokens. Merges must be in the order of the ids."""
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
+    model = content["model"]
+    if model["type"] != "BPE" or model.get("ignore_merges") or model.get("byte_fallback") or model.get("unk_token"):
+        raise ValueError(f"{path}: not a byte-pair model with merges for all bytes")
+    vocab = model["vocab"]
+    merged = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if any(a >= b for a, b in zip(merged, merged[1:])):
+        raise ValueError(f"{path}: ids are not in the order of the merges")
+    return content, vocab, [t["content"] for t in content["added_tokens"]]
+
+
+class ByteBpe:
+    """A byte-level tokenizer, white space included. ``spelled`` holds the bytes of each id."""
+
+    def __init__(self, path: str):
+        import tiktoken
+
+        content, vocab, special = tokens_of(path)
+        before, added = content["pre_tokenizer"], {t["content"]: t["id"] for t in content["added_tokens"]}
+        if content["normalizer"] or before["type"] != "ByteLevel" or not before["use_regex"] or before["add_prefix_space"]:
+            raise ValueError(f"{path}: not a byte-level tokenizer without normalizer")
+        letters = byte_letters()
+        ranks = {bytes([letters[c] for c in token]): i for token, i in vocab.items() if token not in special}
+        self.size = max([*vocab.values(), *added.values()]) + 1
+        self.spelled = [b""] * self.size
+        for token, i in (*ranks.items(), *((s.encode(), i) for s, i in added.items())):
+            self.spelled[i] = token
+        self.merger = tiktoken.Encoding(path, pat_str=BYTES, mergeable_ranks=ranks, special_tokens=added)
+
+    def encode(self, texts: Sequence[str | None], plain: bool = False) -> list[np.ndarray]:
+        """Ids of each text as unsigned 32-bit integers; null is empty. ``plain``: a special token's string is text."""
+        allowed = set() if plain else "all"
+        return [self.merger.encode_to_numpy(t or "", allowed_special=allowed, disallowed_special=()) for t in texts]
+
+
+class WordBpe:
+    """A tokenizer of lower-case words whose last character is marked; white space is dropped.
+
+    To the merger a word's end is a zero byte. Merging it with the byte before comes first, as those tokens have the
+    lowest ids after the bytes, so the result is that of the marked characters.
+    """
+
+    END = "</w>"
+
+    def __init__(self, path: str):
+        import tiktoken
+        from tokenizers import Tokenizer
+
+        content, vocab, special = tokens_of(path)
+        letters = byte_letters()
+        if content["model"]["end_of_word_suffix"] != self.END or any(vocab[c] >= 256 or not 256 <= vocab[c + self.END] < 512 for c in letters):
+            raise ValueError(f"{path}: not a tokenizer of words with marked ends")
+        ranks = {}
+        for token, i in vocab.items():
+            if token not in special:
+                ended = token.endswith(self.END)
+                ranks[bytes([letters[c] for c in token.removesuffix(self.END)]) + b"\0" * ended] = i
+        self.size = max(vocab.values()) + 1
+        self.tokenizer = Tokenizer.from_file(path)
+        self.merger = tiktoken.Encoding(path, pat_str="[^\\x00]+\\x00", mergeable_ranks=ranks, special_tokens={})
+
+    def _simple(self, text: str) -> np.ndarray:
+        words = WORDS.findall(text.lower())
+        return self.merger.encode_to_numpy("\0".join([*words, ""]), disallowed_special=())
+
+    def _encode(self, text: str) -> np.ndarray:
+        if SIMPLE.fullmatch(text) and "<|" not in text:
+            return self._simple(text)
+        parts, together = [np.zeros(0, np.uint32)], []
+        for chunk in BLANKS.split(text):
+            if SIMPLE.fullmatch(chunk) and "<|" not in chunk:
+                together.append(chunk)
+                continue
+            parts.append(self._simple(" ".join(together)))
+            together = []
+            parts.append(np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, np.uint32))
+        return np.concatenate([*parts, self._simple(" ".join(together))])
 
+    def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
+        """Ids of each text as unsigned 32-bit integers; null is empty."""
+        return [self._encode(t or "") for t in texts]
 
-class Encoder:
-    """``rule`` is the kind of the tokenizer: ``bytes`` (byte-level) or ``words`` (lower case, white space dropped)."""
-
-    def __init__(self, path: str, rule: str, remembered: int = REMEMBERED):
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        self.tokenizer, self.remembered = Tokenizer.from_file(path), remembered
-        self.model = self.tokenizer.model
-        letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        simple = [c for c in map(chr, range(0x250)) if SIMPLE.fullmatch(c)]
-        self.spelling = str.maketrans({c: letters.pre_tokenize_str(c)[0][0] for c in simple})
-        self.chunks: Callable[[str], list[str]] = _byte_chunks if rule == "bytes" else str.split
-        self.cut = BYTES.findall if rule == "bytes" else lambda chunk: WORDS.findall(chunk.lower())
-        self._forget()
 
-    def merge(self, pre_token: str) -> tuple[int, ...]:
-        return tuple([t.id for t in self.model.tokenize(pre_token.translate(self.spelling))])
+_ENCODERS: dict[str, ByteBpe | WordBpe] = {}
 
-    def _forget(self) -> None:
-        self.known = Known(self)
 
-    def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
-        """Ids of each text as unsigned 32-bit integers; null is empty."""
-        out: list[np.ndarray] = []
-        group: list[str] = []
-        chars = 0
-        for text in texts:
-            group.append(text or "")
-            chars += len(group[-1])
-            if chars > BATCH_CHARS:
-                out += self._encode(group)
-                group, chars = [], 0
-        return out + self._encode(group)
-
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > self.remembered:
-            self._forget()
-        simple = [SIMPLE.fullmatch(t) is not None and "<|" not in t for t in texts]
-        cut = [self.chunks(t) if s else [] for t, s in zip(texts, simple)]
-        counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        index = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
-        starts = np.frombuffer(self.known.start, np.int64)
-        ends = np.cumsum(starts[index + 1] - starts[index])
-        lengths = np.diff(ends, prepend=0)
-        source = np.repeat(starts[index] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
-        ids = np.frombuffer(self.known.ids, np.uint32)[source] if len(source) else np.zeros(0, np.uint32)
-        del starts
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        out = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
-        for k in (k for k, s in enumerate(simple) if not s):
-            out[k] = np.array(self.tokenizer.encode(texts[k], add_special_tokens=False).ids, np.uint32)
-        return out
-
-
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
-
-
-def encoder(path: str, rule: str) -> Encoder:
-    """The encoder of this Python process: it keeps what it has learnt from task to task."""
-    if (path, rule) not in _ENCODERS:
-        _ENCODERS[path, rule] = Encoder(path, rule)
-    return _ENCODERS[path, rule]
+def encoder(path: str) -> ByteBpe | WordBpe:
+    """The encoder for a tokenizer file, kept in this Python process. A file of neither kind is an error."""
+    if path not in _ENCODERS:
+        with open(path, encoding="utf-8") as file:
+            marked = json.load(file)["model"].get("end_of_word_suffix")
+        _ENCODERS[path] = WordBpe(path) if marked else ByteBpe(path)
+    return _ENCODERS[path]

@@ -95,9 +95,37 @@ JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) r
 LEFT JOIN (SELECT one AS doc_id, count(*) AS n FROM links GROUP BY one) l USING (doc_id)
 """
 
+QUALITY_RULES = f"""
+WITH split AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce(regexp_extract_all(text, '{WORD}'), []) AS words,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda line: regexp_matches(line, '{WORD}')) AS lines
+    FROM documents
+), runs AS (
+    SELECT r, words, unnest(range(1, len(words) - 3)) AS start FROM split
+), counted AS (
+    SELECT r, start, count(*) OVER (PARTITION BY r, words[start], words[start + 1], words[start + 2], words[start + 3], words[start + 4]) AS n FROM runs
+), repeated AS (
+    SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest(range(start, start + 5)) AS place FROM counted WHERE n > 1) GROUP BY r
+), measured AS (
+    SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda w: len(w))), 0)::BIGINT AS word_chars,
+        len(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+        (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+        len(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_capitals, len(lines) AS n_lines,
+        len(list_filter(words, lambda w: NOT regexp_matches(w, '[A-Za-z]|[^\\x00-\\x7F]'))) AS n_letterless
+    FROM split LEFT JOIN repeated USING (r)
+), judged AS (
+    SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT (base_failed OR 100 * n_symbols > 5 * word_chars OR 100 * n_capitals > 30 * word_chars OR 100 * n_dup_lines > 50 * n_lines
+        OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 100 * n_letterless > 40 * n_words) AS kept
+FROM judged
+"""
+
 ORACLE_SQL = {
     "op1_mix_sources": MIX,
     "op2_substring_dedup": SUBSTRING_DEDUP,
     "op4_exact_dedup": EXACT_DEDUP,
     "op8_ngram_join": NGRAM_JOIN,
+    "op12_quality_rules": QUALITY_RULES,
 }

@@ -7,9 +7,10 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerloom.llm.batches import groups_of_rows
 from ledgerloom.llm.columns import quoted
 from ledgerloom.llm.encoding import encoder
 from ledgerloom.llm.prefix import prefix_sums
@@ -25,25 +26,26 @@ def cut(total: int, size: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, size) for s in range(first, total, size)]
 
 
-def pieces(docs: DataFrame, tokenizer: str, rule: str, end_id: int, size: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece: place in its document, length and checksum of its ids."""
+    schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), *[(c, pa.int64()) for c in ("start", "length", "ids_crc32", "scatter")]])
 
-    def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer, rule)
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(tokenizer).encode
         for batch in batches:
-            rows = []
-            for name, ids in zip(batch["doc_id"].tolist(), encode.encode(batch["text"].tolist())):
-                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                for k, (start, length) in enumerate(cut(len(ids), size)):
-                    crc = zlib.crc32(ids[start : start + length].tobytes())
-                    scatter = zlib.crc32(f"{name}/{k}".encode(), crc)
-                    rows.append((None if pd.isna(name) else int(name), k, start, length, crc, scatter))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "scatter"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            for first, texts in groups_of_rows(batch):
+                names = batch.column("doc_id").slice(first, len(texts)).to_pylist()
+                rows = []
+                for name, ids in zip(names, encode(texts)):
+                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                    for k, (start, length) in enumerate(cut(len(ids), size)):
+                        crc = zlib.crc32(ids[start : start + length].tobytes())
+                        scatter = zlib.crc32(f"{name}/{k}".encode(), crc)
+                        rows.append((name, k, start, length, crc, scatter))
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     slim = docs.select(quoted(doc_id).cast("long").alias("doc_id"), quoted(text).alias("text"))
-    return slim.mapInPandas(encoded, PIECES)
+    return slim.mapInArrow(encoded, PIECES)
 
 
 class Supply:
@@ -123,7 +125,7 @@ def plan(counts: dict[int, int], size: int = SEQUENCE) -> list[tuple[int, int, i
     return slots
 
 
-def pack(docs: DataFrame, tokenizer: str, rule: str = "bytes", end_id: int = 0, size: int = SEQUENCE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, size: int = SEQUENCE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece: id, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``.
 
     A document is the ids of its text and ``end_id``; a null text is empty. Documents of up to ``size`` ids stay
@@ -135,24 +137,22 @@ def pack(docs: DataFrame, tokenizer: str, rule: str = "bytes", end_id: int = 0,
     length, by prefix sums over 256 slices of a hash, and finds its slot by binary search.
     """
     spark = docs.sparkSession
-    cut_up = checkpointed(pieces(docs, tokenizer, rule, end_id, size, doc_id, text))
+    cut_up = checkpointed(pieces(docs, tokenizer, end_id, size, doc_id, text))
     counts = {r["length"]: r["n"] for r in cut_up.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     slots = np.array(sorted(plan(counts, size)), np.int64).reshape(-1, 6)
     shared = spark.sparkContext.broadcast(slots)
     sliced = cut_up.withColumn("slice", F.pmod(F.col("scatter"), F.lit(256)))
     ranked = prefix_sums(sliced, ["length"], ["slice"], ["scatter", "doc_id", "piece", "ids_crc32"], name="rank")
 
-    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         length, first, _, n, sequence, offset = shared.value.T
         starts = (length << 44) + first
         for batch in batches:
-            slot = np.searchsorted(starts, (batch["length"].to_numpy() << 44) + batch["rank"].to_numpy(), "right") - 1
-            within = batch["rank"].to_numpy() - first[slot]
-            batch["sequence_id"] = sequence[slot] + within // n[slot]
-            batch["offset"] = offset[slot] + within % n[slot] * length[slot]
-            batch["doc_id"] = batch["doc_id"].astype("Int64")
-            yield batch
-
-    columns = "doc_id long, piece int, start long, length long, ids_crc32 long"
+            lengths, ranks = (batch.column(c).to_numpy() for c in ("length", "rank"))
+            slot = np.searchsorted(starts, (lengths << 44) + ranks, "right") - 1
+            within = ranks - first[slot]
+            found = [pa.array(sequence[slot] + within // n[slot]), pa.array(offset[slot] + within % n[slot] * length[slot])]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], *found], [*batch.schema.names[:5], "sequence_id", "offset"])
+
     rows = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank")
-    return rows.mapInPandas(placed, f"{columns}, rank long, sequence_id long, offset long").drop("rank")
+    return rows.mapInArrow(placed, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

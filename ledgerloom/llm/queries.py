@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from ledgerloom.llm import chat, exact_dedup, mixing, neighbours, ngram_join, packing, sharding, substring_dedup, token_records, toxicity
+from ledgerloom.llm import (
+    alignment, chat, exact_dedup, mixing, neighbours, ngram_join, packing, quality_rules, sharding, substring_dedup, token_records, toxicity, whitening,
+)
 from ledgerloom.llm.encoding import tokenizer_path
 from ledgerloom.llm.storage import new_folder
 
@@ -80,7 +82,7 @@ def op8_ngram_join(spark, folder):
 def op9_token_records(spark, folder):
     target = new_folder(spark, "token-records")
     token_records.write_records(
-        table(spark, folder, "documents"), target, tokenizer_path("word_bpe_49k.json"), rule="words", end_id=1
+        table(spark, folder, "documents"), target, tokenizer_path("word_bpe_49k.json"), end_id=1
     )
     return token_records.read_index(spark, target).select("doc_id", "start", "n_tokens", "ids_crc32")
 
@@ -90,6 +92,26 @@ def op10_pack(spark, folder):
     return packing.pack(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+@query
+def op11_token_alignment(spark, folder):
+    files = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    aligned = alignment.align_tokens(table(spark, folder, "documents"), *files, carry=["doc_id"])
+    return aligned.select("row.doc_id", *[c for c in aligned.columns if c != "row"])
+
+
+@query
+def op12_quality_rules(spark, folder):
+    measures = (*quality_rules.MEASURES, "base_failed")
+    judged = quality_rules.cascade(table(spark, folder, "documents"), measures=measures, carry=["doc_id"])
+    return judged.select("row.doc_id", *[f"quality.{m}" for m in measures], "quality.kept")
+
+
+@query
+def op13_embedding_whitening(spark, folder):
+    white = whitening.whiten_embeddings(table(spark, folder, "embeddings"), k=8, carry=["vec_id"])
+    return white.select("row.vec_id", *[c for c in white.columns if c != "row"])
+
+
 @query
 def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)

@@ -14,9 +14,10 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ledgerloom.llm.batches import groups_of_rows
 from ledgerloom.llm.columns import quoted
 from ledgerloom.llm.encoding import encoder
 from ledgerloom.llm.prefix import prefix_sums
@@ -55,7 +56,7 @@ def records(content: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]
         at += size + 17
 
 
-def write_records(docs: DataFrame, folder: str, tokenizer: str, rule: str, end_id: int, doc_id: str = "doc_id", text: str = "text", file_bytes: int = FILE_BYTES) -> None:
+def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text", file_bytes: int = FILE_BYTES) -> None:
     """Write ``folder/records`` in ascending order of the ids (null first, ties by text) and ``folder/index``.
 
     A null text is empty and gives the end id alone. Texts are dealt out by ranges of the id, about ``file_bytes``
@@ -66,39 +67,39 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, rule: str, end_i
     slim = docs.select(quoted(doc_id).cast("long").alias("doc_id"), quoted(text).alias("text"))
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
-    def framed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer, rule)
-        width = 2 if encode.tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 4
+    def framed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(tokenizer)
+        width = 2 if max(encode.size, end_id + 1) <= 1 << 16 else 4
         for batch in batches:
-            ids = encode.encode(batch["text"].tolist())
-            names = [None if pd.isna(i) else int(i) for i in batch["doc_id"].tolist()]
-            # The writer adds the line feed.
-            yield pd.DataFrame({"record": [frame(n, np.append(x, np.uint32(end_id)), width)[:-1] for n, x in zip(names, ids)]})
+            for first, texts in groups_of_rows(batch):
+                names = batch.column("doc_id").slice(first, len(texts)).to_pylist()
+                # The writer adds the line feed.
+                framed = [frame(n, np.append(x, np.uint32(end_id)), width)[:-1] for n, x in zip(names, encode.encode(texts))]
+                yield pa.RecordBatch.from_arrays([pa.array(framed, pa.binary())], ["record"])
 
     dealt = slim.repartitionByRange(max(1, -(-size // file_bytes)), F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     ordered = dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text")
-    ordered.mapInPandas(
-        framed, "record binary"
-    ).select(F.col("record").cast("string").alias("value")).write.mode("overwrite").text(f"{folder}/records")
+    lines = ordered.mapInArrow(framed, "record binary").select(F.col("record").cast("string").alias("value"))
+    lines.write.mode("overwrite").text(f"{folder}/records")
     read_files(spark, folder).write.mode("overwrite").parquet(f"{folder}/index")
 
 
 def read_files(spark: SparkSession, folder: str) -> DataFrame:
     """Every record of ``folder/records``, checked: its place, document id, number and checksum of its ids."""
 
-    def parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = [("file", pa.string()), ("record_offset", pa.int64()), ("record_length", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]
+    schema = pa.schema(columns)
+
+    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                rows = [
-                    (path.rpartition("/")[2], at, length, name, len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
-                    for at, length, name, ids in records(content)
-                ]
-                out = pd.DataFrame(rows, columns=["file", "record_offset", "record_length", "doc_id", "n_tokens", "ids_crc32"])
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out
+            for path, content in zip(batch.column("path"), batch.column("content")):
+                file = path.as_py().rpartition("/")[2]
+                rows = [(file, at, length, name, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for at, length, name, ids in records(content.as_py())]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{folder}/records")
-    return files.select("path", "content").mapInPandas(parsed, READ_SCHEMA)
+    return files.select("path", "content").mapInArrow(parsed, READ_SCHEMA)
 
 
 def read_index(spark: SparkSession, folder: str) -> DataFrame:

@@ -10,24 +10,32 @@ import pytest
 from tokenizers import Tokenizer
 
 from ledgerloom.llm import chat, packing, token_records
-from ledgerloom.llm.encoding import Encoder, tokenizer_path
+from ledgerloom.llm.encoding import encoder, tokenizer_path
 from ledgerloom.llm.storage import new_folder
 
-TOKENIZERS = [("byte_bpe_50k.json", "bytes"), ("word_bpe_49k.json", "words")]
-
-
-@pytest.mark.parametrize("name, rule", TOKENIZERS)
-def test_encoder_equals_the_tokenizer(name, rule):
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_equals_the_tokenizer(name):
     draw = random.Random(5)
-    letters = "ab Z'sS tté ñ1 2²½.,!?<|#\n\n\t\r  \\ŁİÿĀªº×÷_-'ll're 've'd'm ́漢 \x0b"
+    letters = "ab Z'sS tté ñ1 2²½.,!?<|#\n\n\t\r  \\ŁİÿĀªº×÷_-'ll're 've'd'm ́漢 \x0b\x00\x1c\xa0Σσ😀ﬁ①\u200b–“”"
     texts = ["".join(draw.choice(letters) for _ in range(draw.randint(0, 40))) for _ in range(3000)]
-    texts += ["", " ", "  a  ", "it's 'still they'LL", "<|endoftext|> x", "a" * 5000]
+    texts += ["", " ", "  a  ", "it's 'still they'LL", "<|endoftext|> x", "a<|startoftext|>b <|endoftext|>", "a" * 5000, "ΟΔΟΣ", " " * 5000]
     plain = Tokenizer.from_file(tokenizer_path(name))
-    encode = Encoder(tokenizer_path(name), rule, remembered=500)
-    for _ in range(2):
-        for text, ids in zip(texts, encode.encode(texts)):
-            assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
-    assert encode.encode([None])[0].tolist() == []
+    for text, ids in zip(texts, encoder(tokenizer_path(name)).encode(texts)):
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+    assert encoder(tokenizer_path(name)).encode([None])[0].tolist() == []
+
+
+def test_a_file_of_another_kind_is_an_error(tmp_path):
+    import json
+
+    for name, change in (("byte_bpe_50k.json", {"normalizer": {"type": "NFC"}}), ("word_bpe_49k.json", {"model": {"end_of_word_suffix": "@"}})):
+        with open(tokenizer_path(name), encoding="utf-8") as file:
+            content = json.load(file)
+        content["model"] |= change.get("model", {})
+        content["normalizer"] = change.get("normalizer", content["normalizer"])
+        (tmp_path / name).write_text(json.dumps(content))
+        with pytest.raises((ValueError, KeyError)):
+            encoder(str(tmp_path / name))
 
 
 def test_records_round_trip_and_damage():
@@ -43,9 +51,9 @@ def test_records_round_trip_and_damage():
 
 
 def test_written_records(spark, make_docs, hard_rows, tmp_path):
-    name, rule = "word_bpe_49k.json", "words"
+    name = "word_bpe_49k.json"
     folder = new_folder(spark, "records")
-    token_records.write_records(make_docs(hard_rows), folder, tokenizer_path(name), rule, 1, file_bytes=50_000)
+    token_records.write_records(make_docs(hard_rows), folder, tokenizer_path(name), 1, file_bytes=50_000)
     rows = sorted(token_records.read_index(spark, folder).collect(), key=lambda r: r.start)
     plain = Tokenizer.from_file(tokenizer_path(name))
     assert [r.doc_id for r in rows] == sorted((i for i, _, _ in hard_rows), key=lambda i: (i is not None, i or 0))
@@ -152,7 +160,7 @@ def test_chat_markers_cannot_be_forged():
 def test_empty_tables(spark, empty_docs):
     assert packing.pack(empty_docs, tokenizer_path("byte_bpe_50k.json")).count() == 0
     folder = new_folder(spark, "records")
-    token_records.write_records(empty_docs, folder, tokenizer_path("word_bpe_49k.json"), "words", 1)
+    token_records.write_records(empty_docs, folder, tokenizer_path("word_bpe_49k.json"), 1)
     assert token_records.read_index(spark, folder).count() == 0
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.format_conversations(none, tokenizer_path("byte_bpe_50k.json")).count() == 0
