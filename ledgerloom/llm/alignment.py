@@ -8,6 +8,7 @@ on its ids alone, and windows repeat as words do, so each alignment is remembere
 from __future__ import annotations
 
 import hashlib
+import re
 from array import array
 from collections.abc import Iterator, Sequence
 
@@ -21,74 +22,90 @@ from ledgerloom.llm.encoding import encoder
 from ledgerloom.llm.storage import checkpointed, new_folder
 
 FREQUENT = 1 << 18  # id pairs whose counts are sent to every task
-REMEMBERED = 1 << 21  # tokens in remembered windows
+REMEMBERED = 3 << 20  # links in remembered windows
 HELD_PAIRS = 1 << 20
+LONGER = re.compile("[^\x00-\u07ff]")  # characters of three bytes and more
 ID_BITS = 32  # an id pair is one number: first id, second id in the lower bits
 
 
 class Pieces:
-    """A sentence-piece model: ids of texts, and the bytes of each id."""
+    """A sentence-piece model: ids of texts, and the bytes of each id.
+
+    Texts of characters of one and two bytes go through a native merger that takes the model's pieces as byte strings:
+    characters of two bytes are put together first, then pieces by their score. No piece has a space after another
+    character, so words are merged one by one. Bytes that are left over are byte pieces, as in the model. Other texts
+    go through the model.
+    """
 
     def __init__(self, path: str):
         import sentencepiece
+        import tiktoken
 
-        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        self.spelled = [
-            bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
-        ]
+        model = self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+        self.spelled = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        usual = [i for i in range(len(pieces)) if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i) or model.is_byte(i))]
+        by_byte = {self.spelled[i]: i for i in range(len(pieces)) if model.is_byte(i)}
+        by_byte |= {self.spelled[i]: i for i in usual if len(self.spelled[i]) == 1}
+        if len(by_byte) != 256 or any(re.search("[^▁]▁", pieces[i]) for i in usual):
+            raise ValueError(f"{path}: not a model with pieces for all bytes and spaces in front")
+        characters = [i for i in usual if len(pieces[i]) == 1 and len(self.spelled[i]) == 2]
+        merged = sorted((i for i in usual if len(pieces[i]) > 1), key=lambda i: (-model.get_score(i), i))
+        self.ids = np.array([*[by_byte[bytes([b])] for b in range(256)], *characters, *merged], np.uint32)
+        ranks = {bytes([b]): b for b in range(256)} | {self.spelled[i]: 256 + k for k, i in enumerate([*characters, *merged])}
+        self.merger = tiktoken.Encoding(path, pat_str=" *[^ ]+| +", mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, texts: Sequence[str]) -> list[list[int]]:
-        return self.model.encode(list(texts), num_threads=1)
+    def encode(self, text: str) -> np.ndarray:
+        if text and LONGER.search(text):
+            return np.array(self.model.encode(text), np.uint32)
+        return self.ids[self.merger.encode_to_numpy(" " + text, disallowed_special=())] if text else self.ids[:0]
 
 
-def align(a: Sequence[int], b: Sequence[int], a_sizes: Sequence[int], b_sizes: Sequence[int]) -> tuple[list[tuple[int, int]], list[str]]:
-    """All pairs of tokens whose bytes overlap, and the groups between shared ends, written out.
+class Vocabulary:
+    """What alignment needs of a tokenizer's ids: number of bytes, the id as text, whether it begins with a space."""
 
-    Both sequences spell the same bytes; no token is empty.
-    """
-    links, groups = [], []
-    i = j = first_i = first_j = 0
-    behind = 0  # end of token i less end of token j, once both are entered
-    if a:
-        behind = a_sizes[0] - b_sizes[0]
-    while i < len(a):
-        links.append((a[i], b[j]))
-        if behind == 0:
-            groups.append(",".join(map(str, a[first_i : i + 1])) + "|" + ",".join(map(str, b[first_j : j + 1])))
-            i, j = i + 1, j + 1
-            first_i, first_j = i, j
-            if i < len(a):
-                behind = a_sizes[i] - b_sizes[j]
-        elif behind < 0:
-            i += 1
-            behind += a_sizes[i]
-        else:
-            j += 1
-            behind -= b_sizes[j]
-    return links, groups
+    def __init__(self, spelled: Sequence[bytes]):
+        self.sizes = np.array([len(t) for t in spelled], np.int64)
+        self.text = [str(i) for i in range(len(spelled))]
+        self.spaced = np.array([t.startswith(b" ") for t in spelled])
 
 
 class Windows(dict):
-    """Number of each remembered window, by its two tuples of ids (as bytes); a new one is aligned when asked for."""
+    """Number of each remembered window by its two tuples of ids (as bytes), and the alignments by number."""
 
-    def __init__(self, a_sizes: np.ndarray, b_sizes: np.ndarray):
-        self.a_sizes, self.b_sizes = a_sizes, b_sizes
+    def __init__(self, first: Vocabulary, second: Vocabulary):
+        self.first, self.second = first, second
         self.links, self.start = array("Q"), array("q", [0])
         self.text: list[str] = []
         self.groups = array("q")
-        self.tokens = 0
 
-    def __missing__(self, key: tuple[bytes, bytes]) -> int:
-        a, b = np.frombuffer(key[0], np.uint32), np.frombuffer(key[1], np.uint32)
-        links, groups = align(a.tolist(), b.tolist(), self.a_sizes[a].tolist(), self.b_sizes[b].tolist())
-        self.links.extend([x << ID_BITS | y for x, y in links])
-        self.start.append(len(self.links))
-        self.text.append(";".join(groups))
-        self.groups.append(len(groups))
-        self.tokens += len(a) + len(b)
-        self[key] = number = len(self)
-        return number
+    def learn(self, keys: Sequence[tuple[bytes, bytes]]) -> None:
+        """Align new windows, all in one go: end to end, as both tuples of a window spell the same bytes.
+
+        No token is empty. A link begins at every end of a token of either side; a group, at every end that both share.
+        """
+        if not keys:
+            return
+        tuples = list(zip(*keys))
+        (a, a_ends), (b, b_ends) = (
+            (ids := np.frombuffer(b"".join(t), "<u4"), np.cumsum(v.sizes[ids])) for t, v in zip(tuples, (self.first, self.second))
+        )
+        window_ends = a_ends[np.cumsum([len(t) // 4 for t in tuples[0]]) - 1]
+        ends = np.union1d(a_ends, b_ends)
+        links = a[np.searchsorted(a_ends, ends)].astype(np.uint64) << np.uint64(ID_BITS) | b[np.searchsorted(b_ends, ends)]
+        near = np.searchsorted(b_ends, a_ends)
+        shared = np.flatnonzero(b_ends[near] == a_ends)
+        a_text, b_text = ([v.text[i] for i in ids.tolist()] for ids, v in ((a, self.first), (b, self.second)))
+        a_stops, b_stops = [0, *(shared + 1).tolist()], [0, *(near[shared] + 1).tolist()]
+        groups = [
+            ",".join(a_text[i:j]) + "|" + ",".join(b_text[k:m]) for i, j, k, m in zip(a_stops, a_stops[1:], b_stops, b_stops[1:])
+        ]
+        stops = [0, *np.searchsorted(a_ends[shared], window_ends, "right").tolist()]
+        self.text += [";".join(groups[i:j]) for i, j in zip(stops, stops[1:])]
+        self.groups.extend(np.diff(stops).tolist())
+        self.start.extend((len(self.links) + np.searchsorted(ends, window_ends, "right")).tolist())
+        self.links.frombytes(links.tobytes())
+        self.update(zip(keys, range(len(self), len(self) + len(keys))))
 
 
 class Aligner:
@@ -96,55 +113,59 @@ class Aligner:
 
     def __init__(self, byte_file: str, piece_file: str, remembered: int = REMEMBERED):
         self.first, self.second, self.remembered = encoder(byte_file), Pieces(piece_file), remembered
-        self.sizes = [np.array([len(t) for t in spelled], np.int64) for spelled in (self.first.spelled, self.second.spelled)]
-        self.spaced = [np.array([t.startswith(b" ") for t in spelled]) for spelled in (self.first.spelled, self.second.spelled)]
-        self.windows = Windows(*self.sizes)
+        self.vocabularies = Vocabulary(self.first.spelled), Vocabulary(self.second.spelled)
+        self.windows = Windows(*self.vocabularies)
 
-    def cut(self, a: np.ndarray, b: np.ndarray) -> list[tuple[bytes, bytes]]:
+    def cut(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
         """The windows: between shared ends after which both go on with a space."""
         ends, places = [], []
-        for ids, sizes, spaced in zip((a, b), self.sizes, self.spaced):
-            end = np.cumsum(sizes[ids])
-            before_space = np.flatnonzero(spaced[ids[1:]])
-            ends.append(end[before_space])
-            places.append(before_space + 1)
-        _, at_a, at_b = np.intersect1d(*ends, assume_unique=True, return_indices=True)
+        for ids, vocabulary in zip((a, b), self.vocabularies):
+            before_space = np.flatnonzero(vocabulary.spaced[ids[1:]])
+            ends.append(np.cumsum(vocabulary.sizes[ids])[before_space])
+            places.append((before_space + 1) * 4)
+        near = np.searchsorted(ends[1], ends[0])
+        shared = near < len(ends[1])
+        shared[shared] = ends[1][near[shared]] == ends[0][shared]
         keys = []
-        for ids, at in ((a, places[0][at_a]), (b, places[1][at_b])):
-            data = ids.astype(np.uint32).tobytes()
-            edges = [0, *(at * 4).tolist(), len(data)]
-            keys.append([data[s:e] for s, e in zip(edges[:-1], edges[1:])])
-        return list(zip(*keys))
+        for ids, at in ((a, places[0][shared]), (b, places[1][near[shared]])):
+            data = ids.tobytes()
+            edges = [0, *at.tolist(), len(data)]
+            keys.append([data[s:e] for s, e in zip(edges, edges[1:])])
+        return zip(*keys)
 
     def encode(self, texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of both tokenizers for each text; none where a tokenizer's tokens do not spell the text."""
-        full = [t or "" for t in texts]
-        for text, a, b in zip(full, self.first.encode([" " + t for t in full], plain=True), self.second.encode(full)):
-            spelled = b" " + text.encode()
-            whole = bool(text) and b"".join([self.second.spelled[i] for i in b]) == spelled and b"".join([self.first.spelled[i] for i in a.tolist()]) == spelled
-            yield (a, np.array(b, np.uint32)) if whole else (np.zeros(0, np.uint32),) * 2
+        none = np.zeros(0, "<u4")
+        for text in texts:
+            spelled = b" " + (text or "").encode()
+            [a], b = self.first.encode([" " + (text or "")], plain=True), self.second.encode(text or "")
+            whole = text and all(
+                b"".join([tokenizer.spelled[i] for i in ids.tolist()]) == spelled for tokenizer, ids in ((self.first, a), (self.second, b))
+            )
+            yield (a.astype("<u4"), b.astype("<u4")) if whole else (none, none)
 
     def align(self, texts: Sequence[str | None]) -> Iterator[tuple]:
         """For each text: numbers of tokens, groups and links, digest of the groups, distinct links and how often."""
-        for a, b in self.encode(texts):
-            if not len(a):
+        if len(self.windows.links) > self.remembered:
+            self.windows = Windows(*self.vocabularies)
+        known = self.windows
+        encoded = list(self.encode(texts))
+        cut = [list(self.cut(a, b)) if len(a) else [] for a, b in encoded]
+        found = [list(map(known.get, keys)) for keys in cut]
+        known.learn(list(dict.fromkeys([key for keys, numbers in zip(cut, found) for key, n in zip(keys, numbers) if n is None])))
+        starts, all_links, all_groups = (np.frombuffer(x, kind) for x, kind in ((known.start, "i8"), (known.links, "u8"), (known.groups, "i8")))
+        for (a, b), keys, numbers in zip(encoded, cut, found):
+            if not keys:
                 yield 0, 0, 0, 0, "", np.zeros(0, np.uint64), np.zeros(0, np.int64)
                 continue
-            if self.windows.tokens > self.remembered:
-                self.windows = Windows(*self.sizes)
-            known = self.windows
-            numbers = [known[key] for key in self.cut(a, b)]
-            starts = np.frombuffer(known.start, np.int64)
+            numbers = [known[key] if n is None else n for key, n in zip(keys, numbers)]
             at = np.array(numbers, np.int64)
             lengths = starts[at + 1] - starts[at]
             ends = np.cumsum(lengths)
-            links = np.frombuffer(known.links, np.uint64)[np.repeat(starts[at] - (ends - lengths), lengths) + np.arange(ends[-1])]
+            links = all_links[np.repeat(starts[at] - (ends - lengths), lengths) + np.arange(ends[-1])]
             pairs, times = np.unique(links, return_counts=True)
-            n_groups = int(np.frombuffer(known.groups, np.int64)[at].sum())
-            text = known.text
-            digest = hashlib.sha256(";".join([text[k] for k in numbers]).encode()).hexdigest()
-            del starts
-            yield len(a), len(b), n_groups, len(links), digest, pairs, times
+            digest = hashlib.sha256(";".join([known.text[k] for k in numbers]).encode()).hexdigest()
+            yield len(a), len(b), int(all_groups[at].sum()), len(links), digest, pairs, times
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}

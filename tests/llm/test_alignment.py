@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -92,22 +93,35 @@ def test_query_equals_the_plain_version(spark):
     assert found(result, "doc_id") == Counter((r.doc_id, *figures) for r, figures in zip(rows, plain([r.text for r in rows])))
 
 
+def test_pieces_equal_the_model():
+    draw, tool = random.Random(2), alignment.Pieces(FILES[1])
+    letters = "abcdeé \n\t  .,ñßüЖяשم0123<>_ABC\x00\x7f\x80\u07ff" + "the and ing  "
+    texts = ["".join(draw.choice(letters) for _ in range(draw.randint(1, 60))) for _ in range(3000)]
+    texts += [f"a{chr(c)}b {chr(c)} {chr(c)}{chr(c)}x" for c in range(0x800)] + ["a" * 5000, " " * 5000, "日本 é", "it’s “so”", "<0x41><s>"]
+    for text in texts:
+        assert tool.encode(text).tolist() == tool.model.encode(text), ascii(text)
+    assert tool.encode("").tolist() == []
+
+
 def test_empty_table(empty_docs):
     assert alignment.align_tokens(empty_docs, *FILES).count() == 0
 
 
 def test_windows_are_forgotten_without_effect():
-    tool = alignment.Aligner(*FILES, remembered=3)
-    texts = ["one two three", "two three four", "one two three"]
-    once, twice = list(tool.align(texts)), list(alignment.Aligner(*FILES).align(texts))
-    assert [t[:5] for t in once] == [t[:5] for t in twice] and (once[0][5] == once[2][5]).all()
-
-
-def test_align_shares_bytes():
-    links, groups = alignment.align([1, 2, 3], [7, 8], [2, 1, 4], [3, 4])
-    assert links == [(1, 7), (2, 7), (3, 8)] and groups == ["1,2|7", "3|8"]
-    links, groups = alignment.align([1, 2], [7, 8, 9], [3, 3], [2, 2, 2])
-    assert links == [(1, 7), (1, 8), (2, 8), (2, 9)] and groups == ["1,2|7,8,9"]
+    tool, texts = alignment.Aligner(*FILES, remembered=3), ["one two three", "two three four", "one two three"]
+    alone = [next(iter(tool.align([t]))) for t in texts]
+    together = list(alignment.Aligner(*FILES).align(texts))
+    assert [t[:5] for t in alone] == [t[:5] for t in together] and (together[0][5] == together[2][5]).all()
+    assert len(tool.windows) == 3 and tool.windows.learn([]) is None
+
+
+def test_learnt_windows_share_bytes():
+    a, b = alignment.Vocabulary([b"xx", b"x", b"xxxx", b"xxx"]), alignment.Vocabulary([b"xxx", b"xxxx", b"xx"])
+    known = alignment.Windows(a, b)
+    known.learn([tuple(np.array(ids, "<u4").tobytes() for ids in w) for w in (([0, 1, 2], [0, 1]), ([3, 3], [2, 2, 2]))])
+    assert known.text == ["0,1|0;2|1", "3,3|2,2,2"] and known.groups.tolist() == [2, 1] and known.start.tolist() == [0, 3, 7]
+    links = [(x >> 32, x & 0xFFFFFFFF) for x in known.links]
+    assert links == [(0, 0), (1, 0), (2, 1), (3, 2), (3, 2), (3, 2), (3, 2)] and len(known) == 2
 
 
 def test_planes_keep_numbers():
