@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerloom.operators.dedup import copies_per_key
-from ledgerloom.operators.ranking import quantiles_of_counts, value_counts
+from ledgerloom.operators.ranking import edges_by_measure, known_values
 
 
 def _quoted(name: str):
@@ -79,49 +79,44 @@ def preview(df: DataFrame, order_by: Sequence[str], rows: int = 3) -> DataFrame:
     return df.orderBy(*[_quoted(c) for c in order_by]).limit(rows)
 
 
-def _counts_and_quartiles(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Value counts of the columns, and quartiles and mean per column: one pass over the table."""
-    counts = value_counts(df, {c: F.col(c) for c in columns})
-    means = counts.groupBy("measure").agg((F.sum(F.col("key").cast("double") * F.col("weight")) / F.sum("weight")).alias("mean"))
-    return counts, quantiles_of_counts(counts, 4).join(means, "measure")
-
-
-def _statistics(counts: DataFrame, per_column: DataFrame) -> DataFrame:
-    """Statistics of every column from its value counts. ``per_column`` has one row per column."""
-    value, weight = F.col("key").cast("double"), F.col("weight")
-    low, high = F.element_at("edges", 2), F.element_at("edges", 4)
-    fence = (high - low) * 1.5
-    squares = F.sum((value - F.col("mean")) * (value - F.col("mean")) * weight)
-    return (
-        counts.join(F.broadcast(per_column), "measure")
-        .groupBy("measure", "mean", "edges")
-        .agg(
-            F.sum("weight").alias("count"),
-            F.sqrt(F.try_divide(squares, F.sum("weight") - 1)).alias("std"),
-            F.min(value).alias("min"),
-            F.max(value).alias("max"),
-            F.sum(F.when((value < low - fence) | (value > high + fence), weight).otherwise(0)).alias("iqr_outliers"),
-        )
+def _figures(field: T.StructField, edges: Column) -> Column:
+    """Count, mean, standard deviation, least and greatest value, and outliers of a column, as one value."""
+    c = _quoted(field.name)
+    value, own = c.cast("double"), F.try_element_at(edges, F.lit(field.name))
+    fence = (own[3] - own[1]) * 1.5
+    # Decimals and whole numbers add up exactly, whatever the order of the tasks.
+    exact = isinstance(field.dataType, (T.DecimalType, T.IntegralType))
+    return F.struct(
+        F.lit(field.name).alias("measure"),
+        F.count(c).alias("count"),
+        (F.try_divide(F.sum(c).cast("double"), F.count(c)) if exact else F.avg(c)).alias("mean"),
+        F.stddev_samp(value).alias("std"),
+        F.min(c).cast("double").alias("min"),
+        F.max(c).cast("double").alias("max"),
+        F.count_if((value < own[1] - fence) | (value > own[3] + fence)).alias("iqr_outliers"),
     )
 
 
-def _every_column(df: DataFrame, columns: Sequence[str], statistics: DataFrame) -> DataFrame:
-    """A row for each column, also for one without any value."""
-    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("measure"))
-    return names.join(statistics, "measure", "left").na.fill(0, ["count", "iqr_outliers"])
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Descriptive statistics with exact quartiles and the outlier count, rounded to three digits.
+
+    An outlier lies beyond 1.5 times the interquartile range. NULL and NaN are missing values: they are in no figure.
+    A column without values has zeros and NULLs. Three readings of the columns, none of which shuffles rows: sketch,
+    quartiles, figures.
+    """
+    measures = {c: _quoted(c) for c in columns}
+    values = known_values(df, measures)
+    with_edges = values.withColumn("_edges", edges_by_measure(df, measures, 4))
+    figures = F.array(*[_figures(f, F.col("_edges")) for f in values.schema])
+    edges = F.first("_edges", ignorenulls=True).alias("edges")
+    rows = with_edges.agg(figures.alias("figures"), edges).select("edges", F.inline("figures"))
+    quartile = {"p25": 2, "p50": 3, "p75": 4}
+    own = F.try_element_at("edges", F.col("measure"))
+    rows = rows.withColumns({name: F.try_element_at(own, F.lit(i)) for name, i in quartile.items()})
+    numbers = ["mean", "std", "min", "p25", "p50", "p75", "max"]
+    return rows.select("measure", "count", *[F.bround(c, 3).alias(c) for c in numbers], "iqr_outliers")
 
 
 def iqr_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Values beyond 1.5 times the interquartile range, per column. NULL is never one."""
+    """Values beyond 1.5 times the interquartile range, per column. NULL and NaN are none."""
     return describe(df, columns).select("measure", "iqr_outliers")
-
-
-def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Descriptive statistics with exact quartiles and the outlier count, rounded to three digits."""
-    statistics = _statistics(*_counts_and_quartiles(df, columns))
-    edge = {"p25": 2, "p50": 3, "p75": 4}
-    statistics = statistics.withColumns({name: F.element_at("edges", i) for name, i in edge.items()})
-    numbers = ["mean", "std", "min", "p25", "p50", "p75", "max"]
-    return _every_column(df, columns, statistics).select(
-        "measure", "count", *[F.bround(c, 3).alias(c) for c in numbers], "iqr_outliers"
-    )

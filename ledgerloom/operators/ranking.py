@@ -1,72 +1,58 @@
-"""Exact order statistics without a global sort: tiles by rank, quantiles and bins by value.
+"""Exact order statistics without a global sort: running totals, tiles by rank, quantiles and bins by value.
 
-An un-partitioned window or the exact ``percentile`` aggregate brings a whole column into one task. Both are
-answered here from a few exact ranks. A hash sample of the keys gives range bounds; counting per range tells
-which ranges hold the wanted ranks; only those ranges are sorted, each in a task of its own.
+An un-partitioned window or the exact ``percentile`` aggregate brings a whole column into one task. Here rows are
+range-partitioned, counted per range, and each range is told what lies before it. Quantiles look only at the values
+near the wanted ranks: a mergeable sketch says which those are, all others are merely counted. Nothing runs while a
+frame is built.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from collections.abc import Sequence
 
-from ledgerloom.operators.storage import materialise
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-MAX_RANGES = 512
-KEYS_PER_RANGE = 50_000
-SAMPLE_ROWS = 16384
+ACCURACY = 10_000  # the sketch's ranks are off by one part in this many rows at most
+SLACK = 4 / ACCURACY
 
 
-def _range_bounds(keys: DataFrame, totals: DataFrame) -> DataFrame:
-    """Increasing keys that cut each measure into at most ``MAX_RANGES`` ranges of similar size.
+def running_totals(df: DataFrame, group: str, order_by: Sequence[str], weight: str) -> DataFrame:
+    """Add ``last`` and ``total``: the weight up to and with each row in its group's order, and of the whole group.
 
-    They come from a sample of about ``SAMPLE_ROWS`` keys per measure. Keys are distinct per measure, and which
-    are sampled follows from their hash: the same after a retry.
+    ``order_by`` must order the rows of a group without ties; weights are whole numbers above 0. Rows are dealt out by
+    ranges of group and order, as evenly as they are distinct. The last row of each range sends the range's weight to
+    every range; there what came from earlier ranges is added up. So every row goes through three shuffles, no task
+    sees more than a range, and the counts never leave the plan.
     """
-    one_in = F.greatest(F.lit(1), F.floor(F.col("distinct_keys") / SAMPLE_ROWS))
-    sample = keys.join(F.broadcast(totals), "measure").where(F.pmod(F.xxhash64("key"), one_in) == 0)
-    ordered = sample.groupBy("measure").agg(
-        F.sort_array(F.collect_list("key")).alias("sampled"),
-        F.least(F.lit(MAX_RANGES), F.ceil(F.max("distinct_keys") / KEYS_PER_RANGE)).alias("ranges"),
-    )
-    step = F.greatest(F.lit(1), F.floor(F.size("sampled") / F.col("ranges")))
-    return ordered.withColumn("step", step).select(
-        "measure", F.filter("sampled", lambda _, i: i % F.col("step") == 0).alias("bounds")
-    )
-
-
-def keys_at_ranks(keys: DataFrame, totals: DataFrame, ranks: DataFrame) -> DataFrame:
-    """The key at each wanted rank.
-
-    ``keys``: measure, key (distinct within a measure, any orderable type), weight (number of rows it stands
-    for). ``totals``: measure, distinct_keys. ``ranks``: measure, rank (from 1, few). Gives measure, rank, key.
-    """
-    bounds = _range_bounds(keys, totals)
-    ranged = keys.join(F.broadcast(bounds), "measure", "left").select(
-        "measure",
-        "key",
-        "weight",
-        F.coalesce(F.size(F.filter("bounds", lambda b: b < F.col("key"))), F.lit(0)).alias("range_no"),
-    )
-    in_order = Window.partitionBy("measure").orderBy("range_no")
-    filled = (
-        ranged.groupBy("measure", "range_no")
-        .agg(F.sum("weight").alias("size"))
-        .withColumn("before", F.sum("size").over(in_order) - F.col("size"))
-    )
-    wanted = (
-        filled.join(F.broadcast(ranks), "measure")
-        .where((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("size")))
-        .groupBy("measure", "range_no", "before")
-        .agg(F.collect_set("rank").alias("ranks"))
-    )
-    within = Window.partitionBy("measure", "range_no").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        ranged.join(F.broadcast(wanted), ["measure", "range_no"])
-        .withColumn("last", F.col("before") + F.sum("weight").over(within))
-        .select("measure", "key", "last", "weight", F.explode("ranks").alias("rank"))
-        .where((F.col("rank") <= F.col("last")) & (F.col("rank") > F.col("last") - F.col("weight")))
-        .select("measure", "rank", "key")
-    )
+    spark = df.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    number = F.spark_partition_id()
+    # A marker reaches the ranges it knows of; more of them than asked for would go without.
+    checked = F.when(number < ranges, number).otherwise(F.raise_error(F.lit("more ranges than shuffle partitions")).cast("int"))
+    ranged = df.repartitionByRange(ranges, group, *order_by).withColumn("_range", checked)
+    whole = Window.partitionBy("_range", group)
+    so_far = whole.orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = ranged.withColumns({"_so_far": F.sum(weight).over(so_far), "_size": F.sum(weight).over(whole)})
+    own = F.struct(
+        F.col("_range").alias("to"), F.lit(None).cast("int").alias("since"), F.lit(None).cast("bigint").alias("size"),
+        F.col("_so_far").alias("so_far"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+    )
+    row_type = df.schema.simpleString()
+
+    def marker(to: Column) -> Column:
+        return F.struct(
+            to.alias("to"), F.col("_range").alias("since"), F.col("_size").cast("bigint").alias("size"),
+            F.lit(None).cast("bigint").alias("so_far"), F.lit(None).cast(row_type).alias("row"),
+        )
+
+    markers = F.transform(F.sequence(F.lit(0), F.lit(ranges - 1)), marker)
+    is_last = F.col("_so_far") == F.col("_size")
+    sent = F.when(is_last, F.concat(F.array(own), markers)).otherwise(F.array(own))
+    gathered = counted.select(F.col(group).alias("_group"), F.explode(sent).alias("e")).select("_group", "e.*")
+    here = Window.partitionBy("to", "_group")
+    before = F.coalesce(F.sum(F.when(F.col("since") < F.col("to"), F.col("size"))).over(here), F.lit(0))
+    placed = gathered.withColumns({"_before": before, "total": F.sum("size").over(here)}).where("since IS NULL")
+    return placed.select("row.*", (F.col("_before") + F.col("so_far")).alias("last"), "total")
 
 
 def _value_type(df: DataFrame, measures: dict[str, Column]) -> str:
@@ -76,7 +62,7 @@ def _value_type(df: DataFrame, measures: dict[str, Column]) -> str:
     """
     whole = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
     before, after = 1, 0
-    for field in df.select(*measures.values()).schema:
+    for field in df.select(*[c.alias(name) for name, c in measures.items()]).schema:
         kind = field.dataType
         if isinstance(kind, T.DecimalType):
             before, after = max(before, kind.precision - kind.scale), max(after, kind.scale)
@@ -87,104 +73,136 @@ def _value_type(df: DataFrame, measures: dict[str, Column]) -> str:
     return f"decimal({before + after},{after})" if before + after <= 38 else "double"
 
 
-def _long(df: DataFrame, measures: dict[str, Column], kind: str, *extra: str) -> DataFrame:
-    pairs = [F.struct(F.lit(name).alias("measure"), c.cast(kind).alias("value")) for name, c in measures.items()]
-    return df.select(*extra, F.inline(F.array(*pairs)))
-
-
 def tile_by_rank(df: DataFrame, id_column: str, measures: dict[str, Column], tiles: int = 5) -> DataFrame:
     """Add ``<name>_tile`` per measure, equal to ``ntile(tiles)`` ordered by the measure, NULLs last, then the id.
 
-    The id must be unique. With n rows, tile t ends at rank t * (n div tiles) + min(t, n mod tiles); a row's
-    tile is one more than the number of tile ends below it.
+    The id must be unique. Every measure is ranked on its own; the rows travel with the first of them and meet their
+    other tiles by id, so ``df`` is computed once.
     """
-    df = materialise(df)
     kind = _value_type(df, measures)
-    sort_key = F.struct(F.col("value").isNull().alias("missing"), "value", F.col(id_column).alias("id"))
-    keys = _long(df, measures, kind, id_column).select("measure", sort_key.alias("key"), F.lit(1).cast("bigint").alias("weight"))
-    totals = keys.groupBy("measure").agg(F.count("*").alias("distinct_keys"))
-    n = F.col("distinct_keys")
-    ranks = totals.select("*", F.explode(F.sequence(F.lit(1), F.lit(tiles - 1))).alias("tile"))
-    ranks = ranks.select(
-        "measure",
-        (F.col("tile") * F.floor(n / tiles) + F.least(F.col("tile"), n % tiles)).cast("bigint").alias("rank"),
-    ).where("rank > 0")
-    ends = keys_at_ranks(keys, totals, ranks.distinct()).groupBy("measure").agg(F.collect_list("key").alias("ends"))
-    ends_by_measure = ends.agg(F.map_from_entries(F.collect_list(F.struct("measure", "ends")))).scalar()
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    row_type = df.schema.simpleString()
+    entries = [
+        F.struct(
+            F.lit(i).alias("measure"),
+            c.isNull().alias("missing"),
+            c.cast(kind).alias("value"),
+            (row if i == 0 else F.lit(None)).cast(row_type).alias("row"),
+        )
+        for i, c in enumerate(measures.values())
+    ]
+    keys = df.select(F.col(id_column).alias("id"), F.inline(F.array(*entries))).withColumn("one", F.lit(1).cast("bigint"))
+    ranked = running_totals(keys, "measure", ["missing", "value", "id"], "one")
+    place, n = F.col("last") - 1, F.col("total")
+    size, larger = F.floor(n / tiles), n % tiles  # the first ``larger`` tiles hold one row more
+    tile = F.when(place < larger * (size + 1), F.floor(place / (size + 1))).otherwise(
+        larger + F.floor((place - larger * (size + 1)) / F.greatest(size, F.lit(1)))
+    )
+    tiled = ranked.withColumn("tile", (tile + 1).cast("int"))
+    each = [F.max(F.when(F.col("measure") == i, F.col("tile"))).alias(f"{name}_tile") for i, name in enumerate(measures)]
+    met = tiled.groupBy("id").agg(F.first("row", ignorenulls=True).alias("row"), *each)
+    return met.select("row.*", *[f"{name}_tile" for name in measures])
 
-    def tile(name: str, c: Column) -> Column:
-        value = c.cast(kind)
-        own = F.struct(value.isNull().alias("missing"), value.alias("value"), F.col(id_column).alias("id"))
-        below = F.filter(F.try_element_at(F.col("_ends"), F.lit(name)), lambda end: end < own)
-        return (F.size(F.coalesce(below, F.array())) + 1).cast("int")
 
-    return (
-        df.withColumn("_ends", ends_by_measure)
-        .withColumns({f"{name}_tile": tile(name, c) for name, c in measures.items()})
-        .drop("_ends")
-    )
+def known(c: Column, kind: T.DataType) -> Column:
+    """The value, or NULL for NaN: a missing number, as in a data frame."""
+    return F.when(~F.isnan(c), c) if isinstance(kind, (T.DoubleType, T.FloatType)) else c
+
+
+def known_values(df: DataFrame, measures: dict[str, Column]) -> DataFrame:
+    """The measures as columns of their own, without NaN."""
+    named = df.select(*[c.alias(name) for name, c in measures.items()])
+    return named.select(*[known(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in named.schema])
 
 
-def value_counts(df: DataFrame, measures: dict[str, Column]) -> DataFrame:
-    """Every distinct value of every measure with its number of rows: measure, key, weight. Materialised.
+def _brackets(values: DataFrame, parts: int) -> DataFrame:
+    """One row per measure (by place): arrays ``low`` and ``high`` of the intervals that hold the wanted ranks.
 
-    Equal values are counted before anything else, so a value that fills a third of the table is one row.
+    The sketch's error is bounded, so widening each rank by several times that is enough. Up to ``ACCURACY`` values
+    are all looked at.
     """
-    counted = (
-        _long(df, measures, _value_type(df, measures))
-        .where(F.col("value").isNotNull())
-        .groupBy("measure", F.col("value").alias("key"))
-        .agg(F.count("*").alias("weight"))
-    )
-    return materialise(counted)
+    shares = [t / parts for t in range(parts + 1)]
+    wanted = [max(0.0, s - SLACK) for s in shares], [min(1.0, s + SLACK) for s in shares]
 
+    def of(i: int, name: str) -> Column:
+        value = F.col(f"`{name}`").cast("double")
+        sketched = F.percentile_approx(value, wanted[0] + wanted[1], ACCURACY)
+        few = F.count(value) <= ACCURACY
+        low = [F.lit(float("-inf")), *[F.when(~few, sketched[t]).otherwise(float("-inf")) for t in range(1, parts + 1)]]
+        high = [*[F.when(~few, sketched[parts + 1 + t]).otherwise(float("inf")) for t in range(parts)], F.lit(float("inf"))]
+        return F.struct(F.lit(i).alias("measure"), F.array(*low).alias("low"), F.array(*high).alias("high"))
 
-def quantiles(df: DataFrame, measures: dict[str, Column], parts: int) -> DataFrame:
-    return quantiles_of_counts(value_counts(df, measures), parts)
+    return values.agg(F.array(*[of(i, name) for i, name in enumerate(values.columns)]).alias("b")).select(F.inline("b"))
 
 
-def quantiles_of_counts(keys: DataFrame, parts: int) -> DataFrame:
-    """Exact linear-interpolated quantiles 0/parts … parts/parts per measure of ``value_counts``.
+def quantiles(df: DataFrame, measures: dict[str, Column], parts: int) -> DataFrame:
+    """Exact linear-interpolated quantiles 0/parts … parts/parts per measure that has values.
 
-    Gives measure, n (values that are not NULL) and ``edges``, an array of ``parts + 1`` doubles.
+    Gives measure, n (values that are neither NULL nor NaN) and ``edges``, an array of ``parts + 1`` doubles. The
+    table is read twice: for the sketch, and for the values in its brackets; values between two brackets are one row
+    with their number before the shuffle, as are equal values.
     """
-    totals = keys.groupBy("measure").agg(F.sum("weight").alias("n"), F.count("*").alias("distinct_keys"))
+    values = known_values(df, measures)
+    kind = _value_type(values, {c: F.col(f"`{c}`") for c in values.columns})
+    entries = [F.struct(F.lit(i).alias("measure"), F.col(f"`{c}`").cast(kind).alias("value")) for i, c in enumerate(values.columns)]
+    long = values.select(F.inline(F.array(*entries))).where("value IS NOT NULL").withColumn("place", F.col("value").cast("double"))
+    near = long.join(F.broadcast(_brackets(values, parts)), "measure")  # a row per measure
+    place, held, below = F.col("place"), F.lit(False), [F.lit(float("-inf"))]
+    for t in range(parts + 1):
+        low, high = F.col("low")[t], F.col("high")[t]
+        held = held | ((low <= place) & (place <= high))
+        below.append(F.when(high < place, high))
+    keys = near.withColumn("held", held).select(
+        "measure",
+        F.when(F.col("held"), place).otherwise(F.greatest(*below)).alias("place"),
+        (~F.col("held")).alias("between"),
+        F.when(F.col("held"), F.col("value")).alias("value"),
+    )
+    counted = keys.groupBy("measure", "place", "between", "value").agg(F.count(F.lit(1)).alias("weight"))
+    ranked = running_totals(counted, "measure", ["place", "between", "value"], "weight")
 
-    def low(t: Column) -> Column:
-        return (F.floor((F.col("n") - 1) * t / parts) + 1).cast("bigint")
+    def rank(t: int, rounded) -> Column:
+        return (rounded((F.col("total") - 1) * t / parts) + 1).cast("bigint")
 
-    def high(t: Column) -> Column:
-        return (F.ceil((F.col("n") - 1) * t / parts) + 1).cast("bigint")
+    def at(rank: Column) -> Column:
+        here = (F.col("last") >= rank) & (F.col("last") - F.col("weight") < rank)
+        missed = F.raise_error(F.lit("a wanted rank lies outside of its bracket")).cast("double")
+        return F.max(F.when(here & F.col("between"), missed).when(here, F.col("value").cast("double")))
 
-    steps = F.sequence(F.lit(0), F.lit(parts))
-    ranks = totals.select("measure", F.explode(F.array_union(F.transform(steps, low), F.transform(steps, high))).alias("rank"))
-    found = (
-        keys_at_ranks(keys, totals.select("measure", "distinct_keys"), ranks)
-        .groupBy("measure")
-        .agg(F.map_from_entries(F.collect_list(F.struct("rank", F.col("key").cast("double")))).alias("at"))
+    found = ranked.groupBy("measure").agg(
+        F.max("total").alias("n"),
+        F.array(*[at(rank(t, F.floor)) for t in range(parts + 1)]).alias("low"),
+        F.array(*[at(rank(t, F.ceil)) for t in range(parts + 1)]).alias("high"),
     )
 
-    def edge(t: Column) -> Column:
-        below, above = F.element_at("at", low(t)), F.element_at("at", high(t))
+    def edge(pair: Column, t: Column) -> Column:
+        low, high = pair["low"], pair["high"]
         share = F.pmod((F.col("n") - 1) * t, F.lit(parts)) / parts
         # Interpolate from the nearer end, as numpy does; equal ends give exactly that value.
-        return F.when(share < 0.5, below + (above - below) * share).otherwise(above - (above - below) * (1 - share))
+        between = F.when(share < 0.5, low + (high - low) * share).otherwise(high - (high - low) * (1 - share))
+        return F.when(low == high, low).otherwise(between)
+
+    edges = F.transform(F.arrays_zip("low", "high"), edge)
+    names = F.array(*[F.lit(name) for name in measures])
+    return found.select(names[F.col("measure")].alias("measure"), "n", edges.alias("edges"))
+
 
-    return totals.join(found, "measure").select("measure", "n", F.transform(steps, edge).alias("edges"))
+def edges_by_measure(df: DataFrame, measures: dict[str, Column], parts: int) -> Column:
+    """The quantiles as one value: a map from measure to edges."""
+    return quantiles(df, measures, parts).agg(F.map_from_entries(F.collect_list(F.struct("measure", "edges")))).scalar()
 
 
 def bins_by_quantile(df: DataFrame, measures: dict[str, Column], bins: int = 5) -> DataFrame:
     """Add ``<name>_bin`` per measure: 1 for the lowest values to ``bins`` for the highest, equal values together.
 
-    Bins are closed on the right. Two equal edges leave a bin without a range; that is an error.
+    Bins are closed on the right; NULL and NaN have none. Two equal edges leave a bin without a range; that is an
+    error.
     """
-    df = materialise(df)
-    edges = quantiles(df, measures, bins)
-    by_measure = edges.agg(F.map_from_entries(F.collect_list(F.struct("measure", "edges")))).scalar()
+    kinds = df.select(*[c.alias(name) for name, c in measures.items()]).schema
 
     def bin_of(name: str, c: Column) -> Column:
         own = F.try_element_at(F.col("_edges"), F.lit(name))
-        value = c.cast("double")
+        value = known(c, kinds[name].dataType).cast("double")
         number = F.size(F.filter(F.slice(own, 2, bins - 1), lambda e: e < value)) + 1
         repeated = F.size(F.array_distinct(own)) < bins + 1
         return (
@@ -194,7 +212,7 @@ def bins_by_quantile(df: DataFrame, measures: dict[str, Column], bins: int = 5)
         )
 
     return (
-        df.withColumn("_edges", by_measure)
+        df.withColumn("_edges", edges_by_measure(df, measures, bins))
         .withColumns({f"{name}_bin": bin_of(name, c) for name, c in measures.items()})
         .drop("_edges")
     )

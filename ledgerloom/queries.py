@@ -9,10 +9,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerloom.functions import calendar, display, measures, text
-from ledgerloom.operators import checks, dedup, profile, ranking
+from ledgerloom.operators import checks, dedup, joins, profile, ranking
 from ledgerloom.plans import cleaning, enrichment, kpis, marts, quality, scoring, staging
 from ledgerloom.sinks import files, warehouse
-from ledgerloom.sources.star_schema import RetailTables, star_schema_config
+from ledgerloom.sources.star_schema import FaultyTables, RetailTables, star_schema_config
 from ledgerloom.sources.tables import read_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -170,7 +170,7 @@ def unique_violations(t):
 @query
 def fk_violations(t):
     orders, products = t.orders, t.products
-    return checks.orphan_keys(orders, "product_id", products, "product_id")
+    return joins.orphan_keys(orders, "product_id", products, "product_id")
 
 
 @query
@@ -190,6 +190,41 @@ def mart_tests(t):
     return checks.run_column_tests(models, quality.mart_tests())
 
 
+def faulty(t: RetailTables) -> FaultyTables:
+    return FaultyTables(t.spark, t.folder)
+
+
+@query
+def quality_report_faulty(t):
+    """Over tables with planted faults: every check finds some."""
+    return quality.quality_report(faulty(t).by_name(*PROFILED), CONFIG)
+
+
+@query
+def source_tests_faulty(t):
+    return checks.run_column_tests(faulty(t).by_name(), quality.source_tests(CONFIG))
+
+
+@query
+def profile_nulls_faulty(t):
+    return profile.profile_tables(faulty(t).by_name(*PROFILED))
+
+
+@query
+def duplicate_rows_faulty(t):
+    return profile.duplicate_rows_by_table(faulty(t).by_name(*PROFILED))
+
+
+@query
+def describe_orders_faulty(t):
+    return profile.describe(faulty(t).orders, NUMERIC_ORDER_COLUMNS)
+
+
+@query
+def iqr_outliers_faulty(t):
+    return profile.iqr_outliers(faulty(t).orders, NUMERIC_ORDER_COLUMNS)
+
+
 @query
 def table_shapes(t):
     return profile.table_shapes(t.by_name())

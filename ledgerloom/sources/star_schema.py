@@ -131,3 +131,51 @@ class RetailTables:
 
     def by_name(self, *names: str) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in names or TABLES}
+
+
+# Faults that the tables lack of themselves, planted by id: (column, expression) for the rows that satisfy a condition.
+ORDER_FAULTS = {
+    "channel": "CASE WHEN order_id % 101 = 1 THEN 'Fax' WHEN order_id % 103 = 2 THEN NULL ELSE channel END",
+    "country": "CASE WHEN order_id % 107 = 5 THEN concat('Land ', cast(order_id % 8 AS string)) ELSE country END",
+    "unit_price": "cast(CASE WHEN order_id % 109 = 4 THEN 0 WHEN order_id % 113 = 6 THEN unit_price * 40 ELSE unit_price END AS decimal(12,2))",
+    "shipping_cost": "cast(CASE WHEN order_id % 127 = 8 THEN -1 WHEN order_id % 137 = 10 THEN 900 ELSE shipping_cost END AS decimal(12,2))",
+    "customer_id": "CASE WHEN order_id % 131 = 9 THEN -customer_id ELSE customer_id END",
+}
+PRODUCT_FAULTS = {
+    "category": "CASE WHEN product_id % 29 = 3 THEN 'Other' ELSE category END",
+    "unit_cost": "cast(CASE WHEN product_id % 31 = 4 THEN list_price * 0.95 WHEN product_id % 37 = 5 THEN list_price * 1.2 ELSE unit_cost END AS decimal(14,4))",
+    "list_price": "cast(CASE WHEN product_id % 41 = 6 THEN 0 ELSE list_price END AS decimal(12,2))",
+    "brand": "CASE WHEN product_id % 43 = 7 THEN NULL ELSE brand END",
+}
+CUSTOMER_FAULTS = {
+    "segment": "CASE WHEN customer_id % 53 = 3 THEN 'Private' ELSE segment END",
+    "country": "CASE WHEN customer_id % 59 = 4 THEN 'Nowhere' ELSE country END",
+    "city": "CASE WHEN customer_id % 61 = 5 THEN NULL ELSE city END",
+}
+RETURN_FAULTS = {"order_id": "CASE WHEN order_id % 71 = 5 THEN -order_id WHEN order_id % 73 = 6 THEN NULL ELSE order_id END"}
+
+
+def _with_faults(df: DataFrame, faults: dict[str, str], repeated: str) -> DataFrame:
+    """``df`` with its faults; rows that satisfy ``repeated`` occur three times."""
+    changed = df.selectExpr(*[f"{faults[c]} AS `{c}`" if c in faults else f"`{c}`" for c in df.columns], f"CASE WHEN {repeated} THEN 3 ELSE 1 END AS _times")
+    return changed.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times", "_time")
+
+
+class FaultyTables(RetailTables):
+    """The same tables with planted faults, so that every check has something to find."""
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return _with_faults(RetailTables.orders.func(self), ORDER_FAULTS, "order_id % 211 = 3")
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return _with_faults(RetailTables.products.func(self), PRODUCT_FAULTS, "product_id % 47 = 8")
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return _with_faults(RetailTables.customers.func(self), CUSTOMER_FAULTS, "customer_id % 67 = 6")
+
+    @cached_property
+    def returns(self) -> DataFrame:
+        return _with_faults(RetailTables.returns.func(self), RETURN_FAULTS, "order_id % 79 = 7")

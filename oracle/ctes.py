@@ -111,6 +111,33 @@ CTES: dict[str, str] = {
                CAST(10000 + 1000 * n_nationkey + 500 * CAST(split_part(year_month, '-', 2) AS INTEGER)
                     AS DECIMAL(12,2)) AS target_revenue
         FROM nation, (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS year_month FROM orders)""",
+    "faulty_orders": """
+        SELECT order_id, order_date, ship_date, CASE WHEN order_id % 131 = 9 THEN -customer_id ELSE customer_id END AS customer_id,
+               product_id, CASE WHEN order_id % 107 = 5 THEN 'Land ' || CAST(order_id % 8 AS VARCHAR) ELSE country END AS country,
+               CASE WHEN order_id % 101 = 1 THEN 'Fax' WHEN order_id % 103 = 2 THEN NULL ELSE channel END AS channel, quantity,
+               CAST(CASE WHEN order_id % 109 = 4 THEN 0 WHEN order_id % 113 = 6 THEN unit_price * 40 ELSE unit_price END
+                    AS DECIMAL(12,2)) AS unit_price, discount,
+               CAST(CASE WHEN order_id % 127 = 8 THEN -1 WHEN order_id % 137 = 10 THEN 900 ELSE shipping_cost END
+                    AS DECIMAL(12,2)) AS shipping_cost, payment_method
+        FROM (SELECT *, unnest(range(CASE WHEN order_id % 211 = 3 THEN 3 ELSE 1 END)) FROM raw_orders)""",
+    "faulty_products": """
+        SELECT * REPLACE (CASE WHEN product_id % 29 = 3 THEN 'Other' ELSE category END AS category,
+               CAST(CASE WHEN product_id % 31 = 4 THEN list_price * 0.95 WHEN product_id % 37 = 5 THEN list_price * 1.2
+                    ELSE unit_cost END AS DECIMAL(14,4)) AS unit_cost,
+               CAST(CASE WHEN product_id % 41 = 6 THEN 0 ELSE list_price END AS DECIMAL(12,2)) AS list_price,
+               CASE WHEN product_id % 43 = 7 THEN NULL ELSE brand END AS brand)
+        FROM (SELECT * EXCLUDE (n) FROM (
+            SELECT *, unnest(range(CASE WHEN product_id % 47 = 8 THEN 3 ELSE 1 END)) AS n FROM raw_products))""",
+    "faulty_customers": """
+        SELECT * REPLACE (CASE WHEN customer_id % 53 = 3 THEN 'Private' ELSE segment END AS segment,
+               CASE WHEN customer_id % 59 = 4 THEN 'Nowhere' ELSE country END AS country,
+               CASE WHEN customer_id % 61 = 5 THEN NULL ELSE city END AS city)
+        FROM (SELECT * EXCLUDE (n) FROM (
+            SELECT *, unnest(range(CASE WHEN customer_id % 67 = 6 THEN 3 ELSE 1 END)) AS n FROM raw_customers))""",
+    "faulty_returns": """
+        SELECT * REPLACE (CASE WHEN order_id % 71 = 5 THEN -order_id WHEN order_id % 73 = 6 THEN NULL ELSE order_id END AS order_id)
+        FROM (SELECT * EXCLUDE (n) FROM (
+            SELECT *, unnest(range(CASE WHEN order_id % 79 = 7 THEN 3 ELSE 1 END)) AS n FROM raw_returns))""",
     "stg_orders": """
         SELECT order_id, customer_id, product_id, order_date, ship_date, country, channel, payment_method, quantity,
                unit_price, discount, shipping_cost, CAST(ship_date - order_date AS INTEGER) AS shipping_days,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from oracle.ctes import BASE, COMPARISON, SNAPSHOT, micro, quotient, statement, title_list
 
 _FINAL: dict[str, str] = {}
@@ -162,8 +164,17 @@ def _violations(table: str, check: str, source: str, holds: str, detail: str = "
        count(*) FILTER (NOT coalesce({holds}, false)) AS violations, {detail} AS detail FROM {source}"""
 
 
+def _named(column: str, values: str) -> str:
+    """The five smallest offending values, and how many more there are."""
+    bad = f"FILTER ({column} NOT IN ({values}))"
+    return f"""'invalid values: ' || coalesce(array_to_string(list_slice(list_sort(list(DISTINCT {column}) {bad}), 1, 5), ', '), '')
+       || CASE WHEN count(DISTINCT {column}) {bad} > 5
+          THEN ' and ' || (count(DISTINCT {column}) {bad} - 5) || ' more' ELSE '' END"""
+
+
 def _repeats(table: str, check: str, source: str, key: str) -> str:
-    return f"""SELECT '{table}', '{check}', count(*) - count(DISTINCT {key}), '' FROM {source}"""
+    """Rows beyond the first of each key, NULL being a key."""
+    return f"""SELECT '{table}', '{check}', (SELECT count(*) FROM {source}) - (SELECT count(*) FROM (SELECT DISTINCT {key} FROM {source})), ''"""
 
 
 def _orphans(table: str, check: str, child: str, parent: str, key: str) -> str:
@@ -182,7 +193,7 @@ _REPORT = " UNION ALL ".join(
         _violations("Orders", "Discount in [0, 0.5]", "raw_orders", "discount BETWEEN 0 AND 0.5"),
         _violations(
             "Orders", "Valid countries", "raw_orders", f"country IN ({COUNTRY_LIST})",
-            f"'invalid values: ' || count(DISTINCT country) FILTER (country NOT IN ({COUNTRY_LIST}))",
+            _named("country", COUNTRY_LIST),
         ),
         _violations("Orders", "Valid channels", "raw_orders", f"channel IN ({CHANNEL_LIST})"),
         _violations("Orders", "Ship Date >= Order Date", "raw_orders", "ship_date >= order_date"),
@@ -194,8 +205,9 @@ _REPORT = " UNION ALL ".join(
         _violations("Products", "Valid categories", "raw_products", f"category IN ({CATEGORY_LIST})"),
         _violations("Products", "Unit Cost < List Price", "raw_products", "unit_cost < list_price"),
         _violations(
-            "Products", "Margin > 10%", "raw_products", "(list_price - unit_cost) * 10 > list_price",
-            "'low-margin: ' || count(*) FILTER ((list_price - unit_cost) * 10 <= list_price)",
+            "Products", "Margin > 10%", "raw_products", "list_price <> 0 AND (list_price - unit_cost) * 10 > list_price",
+            # A zero list price has no margin.
+            "'low-margin: ' || count(*) FILTER (list_price <> 0 AND (list_price - unit_cost) * 10 <= list_price)",
         ),
         _violations("Customers", "No null values", "raw_customers", _filled("customers")),
         _repeats("Customers", "No duplicate IDs", "raw_customers", "customer_id"),
@@ -317,6 +329,9 @@ _FINAL["mart_tests"] = "SELECT *, failures = 0 AS passed FROM ({})".format(
         ]
     )
 )
+for _name in ("quality_report", "source_tests", "profile_nulls", "duplicate_rows", "describe_orders", "iqr_outliers"):
+    # The same over tables with planted faults; sales targets have none.
+    _FINAL[f"{_name}_faulty"] = re.sub(r"\braw_(orders|products|customers|returns)\b", r"faulty_\1", _FINAL[_name])
 _FINAL["table_shapes"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count, {n} AS column_count FROM raw_{t}"
     for t, n in (("orders", 12), ("products", 8), ("customers", 7), ("returns", 3), ("sales_targets", 3))

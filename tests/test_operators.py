@@ -10,10 +10,13 @@ from ledgerloom.operators import checks, dedup, joins, profile, ranking
 
 
 @pytest.fixture
-def many_ranges(monkeypatch):
-    """Force the multi-range path on small data."""
-    monkeypatch.setattr(ranking, "KEYS_PER_RANGE", 20)
-    monkeypatch.setattr(ranking, "SAMPLE_ROWS", 100)
+def many_ranges(spark, monkeypatch):
+    """Many ranges and narrow brackets on small data."""
+    monkeypatch.setattr(ranking, "ACCURACY", 200)
+    monkeypatch.setattr(ranking, "SLACK", 4 / 200)
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def customers(spark, n, seed=1):
@@ -77,6 +80,60 @@ def test_bins_with_equal_edges_are_an_error(spark):
         ranking.bins_by_quantile(df, {"v": F.col("v")}).collect()
 
 
+def test_nothing_runs_while_a_frame_is_built(spark):
+    df = customers(spark, 50)
+    group = "ranking-build"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        ranking.tile_by_rank(df, "id", {"f": F.col("f")})
+        ranking.bins_by_quantile(df, {"m": F.col("m")})
+        profile.describe(df, ["f", "m"])
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_running_totals_and_the_largest_range(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        for n in (500, 50_000):
+            df = spark.range(n).select((F.col("id") % 3).alias("g"), F.expr("xxhash64(id)").alias("k"), (F.col("id") % 5 + 1).alias("w"))
+            got = ranking.running_totals(df, "g", ["k"], "w").toPandas().sort_values(["g", "k"])
+            assert (got["last"] == got.groupby("g").w.cumsum()).all() and (got.total == got.groupby("g").w.transform("sum")).all()
+            sizes = df.repartitionByRange(16, "g", "k").groupBy(F.spark_partition_id()).count().toPandas()["count"]
+            assert sizes.max() <= 2.5 * n / 16 + 20
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_values_between_brackets_are_only_counted(spark, many_ranges):
+    df = spark.range(5000).select((F.col("id") * F.col("id")).cast("double").alias("v"))
+    edges = ranking.quantiles(df, {"v": F.col("v")}, 4).first().edges
+    assert edges == pytest.approx(np.quantile(np.arange(5000.0) ** 2, [0, 0.25, 0.5, 0.75, 1]).tolist(), rel=1e-15)
+
+
+def test_quantiles_of_tiny_huge_and_missing_numbers(spark):
+    numbers = [1e-8, 2e-8, 3.5e-8, 1e23, -1e23, 5e22, 0.0, -0.0, 1e-300, 7.25]
+    rows = [(v,) for v in numbers] + [(float("nan"),), (None,)]
+    df = spark.createDataFrame(rows, "v double")
+    got = ranking.quantiles(df, {"v": F.col("v")}, 4).first()
+    assert got.n == len(numbers) and got.edges == pytest.approx(np.quantile(numbers, [0, 0.25, 0.5, 0.75, 1]).tolist(), rel=1e-14)
+    small = profile.describe(df.where("v < 1"), ["v"]).first()
+    assert (small["count"], small.p50, small.iqr_outliers) == (7, 0.0, 1)
+    binned = ranking.bins_by_quantile(spark.createDataFrame([*[(float(v),) for v in range(10)], (float("nan"),), (None,)], "v double"), {"v": F.col("v")})
+    assert sorted((r.v_bin for r in binned.collect()), key=lambda b: b or 0) == [None, None, 1, 1, 2, 2, 3, 3, 4, 4, 5, 5]
+
+
+def test_infinite_values_are_values(spark):
+    df = spark.createDataFrame([(v,) for v in (float("-inf"), 1.0, 2.0, 3.0, float("inf"))], "v double")
+    assert ranking.quantiles(df, {"v": F.col("v")}, 4).first().edges == [float("-inf"), 1.0, 2.0, 3.0, float("inf")]
+
+
+def test_describe_of_nothing(spark):
+    row = profile.describe(spark.createDataFrame([(None, float("nan"))], "a decimal(5,2), b double"), ["a", "b"]).collect()
+    assert [(r["count"], r["mean"], r.p50, r.iqr_outliers) for r in row] == [(0, None, None, 0)] * 2
+
+
 def test_keep_first_and_removed_count(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (1, None), (2, "z"), (None, "q"), (None, "p")], "id int, v string")
     first = {(r.id, r.v) for r in dedup.keep_first(df, ["id"]).collect()}
@@ -94,6 +151,9 @@ def test_keep_first_by_arrival(spark):
 def test_iqr_outlier(spark):
     df = spark.createDataFrame([(v,) for v in (1, 2, 3, 4, 100, None)], "v int")
     assert profile.iqr_outliers(df, ["v"]).first().iqr_outliers == 1
+    with_nan = spark.createDataFrame([(float(v),) for v in (1, 2, 3, 4, 100)] + [(float("nan"),)], "v double")
+    row = profile.describe(with_nan, ["v"]).first()
+    assert (row["count"], row["mean"], row["max"], row.iqr_outliers) == (5, 22.0, 100.0, 1)
 
 
 def test_describe_equals_pandas(spark):
@@ -125,7 +185,8 @@ def test_foreign_key_rules_differ_on_null(spark):
     child = spark.createDataFrame([(1,), (None,), (9,)], "k int")
     parent = spark.createDataFrame([(1,), (2,)], "k int")
     with_null = spark.createDataFrame([(1,), (None,)], "k int")
-    report = lambda p: checks.report_foreign_key("t", "c", child, "k", p, "k").first().violations
+    check = checks.ForeignKeyCheck("t", "child", "c", "k", "parent", "k")
+    report = lambda p: checks.report({"child": child, "parent": p}, [check]).first().violations
     assert report(parent) == 2
     assert report(with_null) == 1
     tests = [checks.ColumnTest("child", "k", "relationships", parent="parent", parent_column="k")]
@@ -134,7 +195,7 @@ def test_foreign_key_rules_differ_on_null(spark):
 
 def test_unique_rules_differ_on_null(spark):
     df = spark.createDataFrame([(1,), (None,), (None,), (2,), (2,), (2,)], "k int")
-    assert checks.report_unique("t", "c", df, "k").first().violations == 3
+    assert checks.report({"t": df}, [checks.UniqueCheck("t", "t", "c", "k")]).first().violations == 3
     assert checks.run_column_tests({"t": df}, [checks.ColumnTest("t", "k", "unique")]).first().failures == 1
 
 
@@ -142,13 +203,33 @@ def test_accepted_values_ignore_null_and_report_does_not(spark):
     df = spark.createDataFrame([("a",), ("x",), ("x",), ("y",), (None,)], "v string")
     tests = [checks.ColumnTest("t", "v", "accepted_values", values=("a",)), checks.ColumnTest("t", "v", "not_null")]
     assert [r.failures for r in checks.run_column_tests({"t": df}, tests).collect()] == [2, 1]
-    row = checks.report_rows(
-        "t", df, [checks.RowCheck("v", F.col("v").isin("a"), checks.bad_values_detail("v", ["a"]))]
-    ).first()
-    assert (row.violations, row.detail) == (4, "invalid values: 2")
+    row = checks.report({"t": df}, [checks.RowCheck("t", "t", "v", F.col("v").isin("a"), listed="v")]).first()
+    assert (row.violations, row.detail) == (4, "invalid values: x, y")
     assert {(r.value, r.rows) for r in checks.unaccepted_values(df, "v", ["a"]).collect()} == {("x", 2), ("y", 1)}
 
 
+def test_the_report_names_a_bounded_number_of_values(spark):
+    df = spark.range(3000).select(F.concat(F.lit("v"), F.lpad(F.col("id").cast("string"), 4, "0")).alias("v"))
+    check = checks.RowCheck("t", "t", "v", F.col("v") >= "v2990", listed="v", counted=None)
+    row = checks.report({"t": df}, [check]).first()
+    assert row.detail == "invalid values: v0000, v0001, v0002, v0003, v0004 and 2985 more" and row.violations == 2990
+    assert checks.report({"t": df.limit(0)}, [check]).first().detail == "invalid values: "
+
+
+def test_checks_of_one_table_share_a_reading(spark, tmp_path):
+    spark.range(20).selectExpr("id AS k", "id % 3 AS p", "id % 5 AS v").write.parquet(f"{tmp_path}/child")
+    spark.range(2).selectExpr("id AS p").write.parquet(f"{tmp_path}/parent")
+    tables = {t: spark.read.parquet(f"{tmp_path}/{t}") for t in ("child", "parent")}
+    tests = [
+        checks.ColumnTest("child", "k", "unique"), checks.ColumnTest("child", "k", "not_null"), checks.ColumnTest("child", "v", "accepted_values", values=(0, 1)),
+        checks.ColumnTest("child", "p", "relationships", parent="parent", parent_column="p"), checks.ColumnTest("parent", "p", "unique"),
+    ]
+    result = checks.run_column_tests(tables, tests)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and "Join" not in plan
+    assert [r.failures for r in result.collect()] == [0, 0, 3, 6, 0]
+
+
 def hot_orders(spark, rows=3000):
     """A third of the rows share one key, some have none, many are copies of each other."""
     picks = [("hot" if i % 3 == 0 else None if i % 50 == 1 else f"k{i % 97}", i % 11) for i in range(rows)]
