@@ -18,7 +18,7 @@ from ledgerloom.llm.storage import checkpointed
 
 SAMPLE = 20_000  # labelled rows that the model is fitted on, at most
 LEXICON = 20_000  # entries of the lexicon, at most
-LEAST_DOCS, LEAST_ODDS = 3, 3.0  # an entry is in so many toxic documents, and so much likelier there (log odds)
+LEAST_ODDS = 2.0  # an entry is so much likelier in toxic documents: log odds, shrunk by support
 STEM = 5
 NEAR = 4
 FOLDS = 5
@@ -39,12 +39,17 @@ FEATURES = (
 )
 
 
+Lexicon = tuple[dict[str, float], dict[str, float]]  # words, and beginnings of words, with their odds
+
+
 @dataclass(frozen=True)
 class Model:
-    words: dict[str, float]
-    stems: dict[str, float]
-    trees: GBTClassificationModel
-    calibration: IsotonicRegressionModel
+    """``constant`` is the score of every text where nothing could be learnt."""
+
+    lexicon: Lexicon = ({}, {})
+    trees: GBTClassificationModel | None = None
+    calibration: IsotonicRegressionModel | None = None
+    constant: float = 0.0
 
 
 def fold(doc_id: Column) -> Column:
@@ -89,21 +94,21 @@ def features(text: str | None, words: dict[str, float], stems: dict[str, float])
     )
 
 
-def with_features(rows: DataFrame, words: dict[str, float], stems: dict[str, float]) -> DataFrame:
+def with_features(rows: DataFrame, lexicons: dict[int, Lexicon], which: Column) -> DataFrame:
     """Add ``features`` to ``rows``, which has a column ``text``; the text itself goes no further.
 
-    Only the text is sent to Python, the other columns stay where they are. The function is called
-    non-deterministic, so that no filter on a score takes it into a second evaluation.
+    ``which`` says whose lexicon is used. Only the text is sent to Python, the other columns stay where they are. The
+    function is called non-deterministic, so that no filter on a score takes it into a second evaluation.
     """
-    lexicon = rows.sparkSession.sparkContext.broadcast((words, stems))
+    shared = rows.sparkSession.sparkContext.broadcast(lexicons)
 
     @F.pandas_udf("array<double>")
-    def computed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words, stems = lexicon.value
-        for batch in batches:
-            yield pd.Series([features(t, words, stems) for t in batch], dtype=object)
+    def computed(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        known = shared.value
+        for texts, numbers in batches:
+            yield pd.Series([features(t, *known[n]) for t, n in zip(texts, numbers.tolist())], dtype=object)
 
-    measured = array_to_vector(computed.asNondeterministic()(F.col("text")))
+    measured = array_to_vector(computed.asNondeterministic()(F.col("text"), which))
     return rows.withColumn("features", measured).drop("text")
 
 
@@ -125,47 +130,64 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int, doc_id: str,
     return joined.select("text", "label", fold(F.col("own_id")).alias("fold"))
 
 
-def learn_lexicon(rows: DataFrame, entries: int = LEXICON) -> tuple[dict[str, float], dict[str, float]]:
-    """Words and word beginnings that mark toxic documents, with their log odds; ``entries`` of each at most."""
+def learn_lexicons(rows: DataFrame, entries: int = LEXICON) -> dict[int, Lexicon]:
+    """Words and word beginnings that mark toxic documents: by fold, learnt without that fold; at 0, from all rows.
+
+    Terms are counted once per fold. An entry's value is its log odds times t / (t + 1), t being the toxic documents
+    that hold it: rare terms count for less, and none is left out for being rare alone. ``entries`` of each kind at
+    most.
+    """
 
     def terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for text, label in zip(batch["text"], batch["label"]):
+            for text, label, fold in zip(batch["text"], batch["label"], batch["fold"]):
                 found = set(tokens(text or ""))
                 kinds = [("word", t) for t in found] + [("stem", t) for t in {t[:STEM] for t in found if len(t) >= STEM}]
-                yield pd.DataFrame({"kind": [k for k, _ in kinds], "term": [t for _, t in kinds], "label": label})
-
-    totals = rows.agg(F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("all")).first()
-    toxic, clean = totals["toxic"] or 0.0, totals["all"] - (totals["toxic"] or 0.0)
-    counted = rows.select("text", "label").mapInPandas(terms, "kind string, term string, label double")
-    counted = counted.groupBy("kind", "term").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean"))
-    odds = F.log((F.col("toxic") + 0.5) / F.lit(toxic + 1.0)) - F.log((F.col("clean") + 0.5) / F.lit(clean + 1.0))
-    marking = counted.where(F.col("toxic") >= LEAST_DOCS).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
-    found: dict[str, dict[str, float]] = {}
-    for kind in ("word", "stem"):
-        best = marking.where(F.col("kind") == kind).orderBy(F.desc("odds"), "term").limit(entries)
-        found[kind] = {r["term"]: r["odds"] for r in best.select("term", "odds").collect()}
-    return found["word"], found["stem"]
+                yield pd.DataFrame({"kind": [k for k, _ in kinds], "term": [t for _, t in kinds], "label": label, "fold": fold})
+
+    def elsewhere(k: int, value: Column) -> Column:
+        return F.sum(F.when(F.col("fold") != k, value).otherwise(0.0))
+
+    folds, label = range(FOLDS), F.col("label")
+    by_label = [(name, value) for name, value in (("toxic", label), ("clean", 1 - label))]
+    sums = [elsewhere(k, value).alias(f"{name}_{k}") for k in folds for name, value in by_label]
+    totals = rows.agg(*sums).first()
+    counted = rows.select("text", "label", "fold").mapInPandas(terms, "kind string, term string, label double, fold int")
+    counted = counted.groupBy("kind", "term").agg(*sums)
+    found: dict[int, Lexicon] = {}
+    for k in folds:
+        toxic, clean = F.col(f"toxic_{k}"), F.col(f"clean_{k}")
+        odds = F.log((toxic + 0.5) / F.lit(totals[f"toxic_{k}"] + 1.0)) - F.log((clean + 0.5) / F.lit(totals[f"clean_{k}"] + 1.0))
+        counted = counted.withColumn(f"odds_{k}", odds * toxic / (toxic + 1))
+    marking = checkpointed(counted.where(F.greatest(*[f"odds_{k}" for k in folds]) >= LEAST_ODDS))
+    for k in folds:
+        kinds = {}
+        for kind in ("word", "stem"):
+            best = marking.where((F.col("kind") == kind) & (F.col(f"odds_{k}") >= LEAST_ODDS)).orderBy(F.desc(f"odds_{k}"), "term").limit(entries)
+            kinds[kind] = {r["term"]: r["odds"] for r in best.select("term", F.col(f"odds_{k}").alias("odds")).collect()}
+        found[k] = kinds["word"], kinds["stem"]
+    return found
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
-    """Lexicon and trees from the folds that are not held out; the last of them is kept for the calibration.
+    """Lexicon, trees and calibration from the folds that are not held out.
 
-    Where a fold has one class only (very small tables), all rows serve for both.
+    No row is measured by a lexicon that knows its label, and no value that the calibration sees comes from trees
+    that do: each half of the folds is scored by trees of the other half. The trees that score documents are then
+    fitted on all rows. Without labelled documents in both halves nothing is learnt; the score is the share of toxic
+    ones, 0 without any.
     """
     rows = checkpointed(training_rows(docs, labels, sample, doc_id, text, label).repartition(8, "fold", F.xxhash64("text")))
-    words, stems = learn_lexicon(rows)
-    measured = checkpointed(with_features(rows.select("text", "label", "fold"), words, stems))
-    last = F.col("fold") == FOLDS - 1
-    classes = measured.agg(
-        F.countDistinct(F.when(last, F.col("label"))).alias("last"), F.countDistinct(F.when(~last, F.col("label"))).alias("first")
-    ).first()
-    apart = classes["last"] == 2 and classes["first"] == 2
+    half = F.col("fold") <= FOLDS // 2
+    seen = rows.agg(F.avg("label").alias("share"), F.countDistinct("label").alias("classes"), F.countDistinct(half).alias("halves")).first()
+    if seen["classes"] < 2 or seen["halves"] < 2:
+        return Model(constant=seen["share"] or 0.0)
+    lexicons = learn_lexicons(rows)
+    measured = checkpointed(with_features(rows.select("text", "label", "fold"), lexicons, F.col("fold")))
     trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=20, maxDepth=3, stepSize=0.2, minInstancesPerNode=2, seed=7)
-    fitted = trees.fit(measured.where(~last) if apart else measured)
-    raw = _raw_score(fitted, measured.where(last) if apart else measured)
-    calibration = IsotonicRegression(featuresCol="raw", labelCol="label").fit(raw)
-    return Model(words, stems, fitted, calibration)
+    apart = [_raw_score(trees.fit(measured.where(~side)), measured.where(side)) for side in (half, ~half)]
+    calibration = IsotonicRegression(featuresCol="raw", labelCol="label").fit(apart[0].unionByName(apart[1]))
+    return Model(lexicons[0], trees.fit(measured), calibration)
 
 
 def _raw_score(trees: GBTClassificationModel, rows: DataFrame) -> DataFrame:
@@ -174,15 +196,12 @@ def _raw_score(trees: GBTClassificationModel, rows: DataFrame) -> DataFrame:
 
 
 def scored(rows: DataFrame, model: Model) -> DataFrame:
-    """``rows`` (with a column ``text``) with a ``score`` from 0 to 1 instead of the text.
-
-    The calibrated value decides; it is constant over ranges, so a hundredth of the trees' own value orders rows
-    within a range.
-    """
-    raw = _raw_score(model.trees, with_features(rows, model.words, model.stems))
+    """``rows`` (with a column ``text``) with a ``score`` from 0 to 1 instead of the text: the calibrated value."""
+    if model.trees is None:
+        return rows.withColumn("score", F.lit(float(model.constant))).drop("text")
+    raw = _raw_score(model.trees, with_features(rows, {0: model.lexicon}, F.lit(0)))
     calibrated = model.calibration.transform(raw)
-    score = F.lit(0.99) * F.col("prediction") + F.lit(0.01) * F.col("raw")
-    return calibrated.withColumn("score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), score))).drop("raw", "prediction", "features")
+    return calibrated.withColumn("score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), "prediction"))).drop("raw", "prediction", "features")
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
@@ -191,7 +210,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, do
     The model is fitted on at most ``sample`` labelled documents that are not held out. Only the text is an input.
     Null and empty texts get the score of a text without any sign, repeated rows the same score each. A null id is
     held out if the checksum of the empty text says so. Labels that are null or belong to no document are not
-    used. Both classes must be labelled. An empty table of documents gives no rows.
+    used. With labels of one class only, or none, every score is the share of toxic labels (0 without any). An empty
+    table of documents gives no rows.
     """
     model = fit(docs, labels, sample, doc_id, text, label)
     rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))

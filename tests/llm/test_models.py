@@ -47,6 +47,21 @@ def test_features_look_at_the_whole_text():
     assert hidden["hidden_hits"] > 0 and hidden["obfuscation"] > 0
 
 
+def test_toxicity_without_rows_or_with_one_class(spark, make_docs, empty_docs):
+    kinds = "doc_id long, toxic int, rank string, features string"
+    docs = make_docs([(k, f"some text {k}") for k in range(30)] + [(None, None), (3, "")])
+    none, zeros, ones = (spark.createDataFrame([(k, v, "x", "x") for k in range(n)], kinds) for n, v in ((0, 0), (30, 0), (30, 1)))
+    for labels, score in ((none, 0.0), (zeros, 0.0), (ones, 1.0)):
+        rows = toxicity.score_documents(docs, labels).collect()
+        assert len(rows) == 32 and {r.score for r in rows} == {score} and {r.predicted for r in rows} == {int(score)}
+    for labels in (none, zeros):
+        assert toxicity.score_documents(empty_docs, labels).count() == 0 and toxicity.drop_toxic(empty_docs, labels).count() == 0
+        kept = toxicity.drop_toxic(docs, labels)
+        assert kept.columns == docs.columns and kept.count() == 32
+    nulls = spark.createDataFrame([(1, None, "x", "x"), (None, 1, "x", "x")], kinds)
+    assert {r.score for r in toxicity.score_documents(docs, nulls).collect()} == {0.0}
+
+
 def plain_neighbours(rows, queries, k=10):
     good = {}
     for name, v in rows:
