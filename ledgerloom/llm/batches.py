@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 
 GROUP_CHARS = 2_000_000
@@ -22,3 +23,12 @@ def groups_of_rows(batch: pa.RecordBatch, chars: int = GROUP_CHARS) -> Iterator[
             group, first, held = [], k + 1, 0
     if group:
         yield first, group
+
+
+def ids_of(batch: pd.DataFrame) -> pd.Series:
+    """The ids of ``exact_id``, null where there is none."""
+    return batch["id"].astype("Int64").mask(~batch["named"])
+
+
+def names_of(batch: pd.DataFrame) -> list[int | None]:
+    return [i if named else None for i, named in zip(batch["id"].tolist(), batch["named"].tolist())]

@@ -9,10 +9,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.columns import quoted
+from ledgerloom.llm.batches import names_of
+from ledgerloom.llm.columns import exact_id, quoted
 
 # The template. Escaped text holds neither "#" nor "<", so no text can look like a marker.
-TURN = "### {role}:\n{text}</turn>\n"
+HEAD, REST = "### {role}:\n", "</turn>\n"
 PARSED = re.compile(r"### ([^:]*):\n([^<]*)</turn>\n")
 ESCAPES = {"\\": "\\\\", "#": "\\h", "<": "\\l"}
 ROLE_ESCAPES = ESCAPES | {":": "\\c", "\n": "\\n"}
@@ -29,7 +30,7 @@ def render(turns: Sequence[tuple[str, str]], trained: str) -> tuple[str, list[tu
     """The formatted conversation and the spans, in it, of the texts of the role that is trained."""
     parts, spans, at = [], [], 0
     for role, text in turns:
-        head, rest = TURN.format(role=role.translate(ROLE_TO_ESCAPED), text="\0").split("\0")
+        head, rest = HEAD.format(role=role.translate(ROLE_TO_ESCAPED)), REST
         body = text.translate(TO_ESCAPED)
         if role == trained:
             spans.append((at + len(head), at + len(head) + len(body)))
@@ -101,17 +102,17 @@ def format_conversations(rows: DataFrame, tokenizer: str, trained: str = "assist
         encode = Tokenizer.from_file(tokenizer).encode
         for batch in batches:
             out = []
-            for name, turns in zip(batch["conv_id"].tolist(), batch["turns"]):
+            for name, turns in zip(names_of(batch), batch["turns"]):
                 line, spans = render([(t["role"], t["text"]) for t in turns], trained)
                 encoded = encode(line, add_special_tokens=False)
                 offsets = np.array(encoded.offsets, np.int32).reshape(-1, 2)
                 start, end = token_mask(offsets, spans)
-                out.append((None if pd.isna(name) else int(name), line, encoded.ids, offsets[:, 0], offsets[:, 1], start, end))
-            frame = pd.DataFrame(out, columns=["conv_id", "formatted", "input_ids", "token_start", "token_end", "loss_start", "loss_end"])
-            frame["conv_id"] = frame["conv_id"].astype("Int64")
+                out.append((name, line, encoded.ids, offsets[:, 0], offsets[:, 1], start, end))
+            frame = pd.DataFrame(out, columns=["conv_id", "formatted", "input_ids", "token_start", "token_end", "loss_start", "loss_end"], dtype=object)
+            frame["conv_id"] = pd.array(frame["conv_id"], dtype="Int64")
             yield frame
 
-    return whole.mapInPandas(formatted, SCHEMA)
+    return whole.select(*exact_id("conv_id"), "turns").mapInPandas(formatted, SCHEMA)
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
@@ -122,18 +123,18 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
         for batch in batches:
             out = []
-            for name, line, start, end in zip(batch["conv_id"].tolist(), batch["formatted"], batch["loss_start"], batch["loss_end"]):
+            for name, line, start, end in zip(names_of(batch), batch["formatted"], batch["loss_start"], batch["loss_end"]):
                 turns, loss = parse(line), masked_text(line, start, end)
                 said = "".join(f"{role}\n{text}\n" for role, text in turns)
                 out.append(
                     (
-                        None if pd.isna(name) else int(name), len(turns), hashlib.sha256(said.encode()).hexdigest(),
+                        name, len(turns), hashlib.sha256(said.encode()).hexdigest(),
                         len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(line),
                     )
                 )
-            frame = pd.DataFrame(out, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
-            frame["conv_id"] = frame["conv_id"].astype("Int64")
+            frame = pd.DataFrame(out, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"], dtype=object)
+            frame["conv_id"] = pd.array(frame["conv_id"], dtype="Int64")
             yield frame
 
     columns = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    return formatted.select("conv_id", "formatted", "loss_start", "loss_end").mapInPandas(digests, columns)
+    return formatted.select(*exact_id("conv_id"), "formatted", "loss_start", "loss_end").mapInPandas(digests, columns)

@@ -30,3 +30,9 @@ def scattered(key: Column, instead: Column | None = None) -> Column:
     """A hex string that orders keys as if at random, the same in every run and in SQL. Null keys use ``instead``."""
     text = key.cast("string")
     return F.md5(F.coalesce(text, instead, F.lit("")) if instead is not None else F.coalesce(text, F.lit("")))
+
+
+def exact_id(name: str) -> list[Column]:
+    """An id as two columns without nulls, ``id`` and ``named``: with a null in it, pandas would read it as doubles."""
+    own = quoted(name).cast("long")
+    return [F.coalesce(own, F.lit(0).cast("long")).alias("id"), own.isNotNull().alias("named")]

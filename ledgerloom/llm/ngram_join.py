@@ -16,8 +16,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ledgerloom.llm.batches import ids_of
 from ledgerloom.llm.bit_filter import bit_filter, may_hold
-from ledgerloom.llm.columns import quoted, whole_row
+from ledgerloom.llm.columns import exact_id, quoted, whole_row
 from ledgerloom.llm.components import connected_components
 from ledgerloom.llm.hashing import BASE, mixed, shingle_set, word_hashes
 from ledgerloom.llm.storage import checkpointed
@@ -98,10 +99,9 @@ def described(docs: DataFrame, words: int) -> DataFrame:
     def sized(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingles_of(t, words) for t in batch["text"]]
-            ids = batch["doc_id"].astype("Int64")
-            yield pd.DataFrame({"doc_id": ids, "n_shingles": [len(s) for s in sets], "node": [set_hash(s) for s in sets]})
+            yield pd.DataFrame({"doc_id": ids_of(batch), "n_shingles": [len(s) for s in sets], "node": [set_hash(s) for s in sets]})
 
-    return docs.select("doc_id", "text").mapInPandas(sized, "doc_id long, n_shingles long, node long")
+    return docs.select(*exact_id("doc_id"), "text").mapInPandas(sized, "doc_id long, n_shingles long, node long")
 
 
 def candidate_edges(docs: DataFrame, words: int, bounds: Bounds) -> DataFrame:

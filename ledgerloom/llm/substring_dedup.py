@@ -24,7 +24,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerloom.llm.columns import WORD, quoted
+from ledgerloom.llm.batches import ids_of, names_of
+from ledgerloom.llm.columns import WORD, exact_id, quoted
 from ledgerloom.llm.hashing import BASE, mixed, run_hashes, sliding, word_hashes
 
 WINDOW, GRAM = 20, 4
@@ -156,8 +157,7 @@ def found_runs(docs: DataFrame, window: int, gram: int, bits: int) -> DataFrame:
     def parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bit, block = filled.value, Block()
         for batch in batches:
-            names = [None if pd.isna(n) else int(n) for n in batch["doc_id"].tolist()]
-            for name, text in zip(names, batch["text"]):
+            for name, text in zip(names_of(batch), batch["text"]):
                 words = word_hashes(text)
                 anchor, _ = anchors(words, window, gram)
                 place = (anchor.view(np.int64) % bits).astype(np.int64)
@@ -170,7 +170,7 @@ def found_runs(docs: DataFrame, window: int, gram: int, bits: int) -> DataFrame:
         if block.held:
             yield block.parsed()
 
-    rows = docs.select("doc_id", "text").mapInPandas(parsed, RUN)
+    rows = docs.select(*exact_id("doc_id"), "text").mapInPandas(parsed, RUN)
     factor = F.col("packed") < 0
     whole = F.when(factor, -1 - F.col("packed")).otherwise(F.col("packed"))
     met = rows.repartition("run").select(
@@ -220,7 +220,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits
                 left = " ".join(words)
                 rows.append((n, n - len(words), hashlib.sha256(left.encode("utf-8", "surrogatepass")).hexdigest(), left))
             out = pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256", "kept"])
-            out.insert(0, "doc_id", batch["doc_id"].astype("Int64").array)
+            out.insert(0, "doc_id", ids_of(batch).array)
             yield out
 
-    return joined.select("doc_id", "text", "spans").mapInPandas(kept, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
+    return joined.select(*exact_id("doc_id"), "text", "spans").mapInPandas(kept, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
