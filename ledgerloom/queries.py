@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerloom.functions import calendar, display, measures, text
 from ledgerloom.operators import checks, dedup, joins, profile, ranking
-from ledgerloom.plans import cleaning, enrichment, kpis, marts, quality, scoring, staging
+from ledgerloom.plans import cleaning, enrichment, kpis, marts, quality, runs, scoring, staging
+from ledgerloom.plans.staging_views import create_staging_views
 from ledgerloom.sinks import files, warehouse
 from ledgerloom.sources.star_schema import FaultyTables, RetailTables, star_schema_config
-from ledgerloom.sources.tables import read_parquet
+from ledgerloom.sources.schemas import RAW_COLUMNS
+from ledgerloom.sources.tables import TABLES, corrupt_records, load_tables, read_parquet, source_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 CONFIG = star_schema_config()
@@ -489,7 +491,60 @@ def write_read_roundtrip(t):
 
 @query
 def post_load_counts(t):
-    """Load the raw tables into catalog tables of a scratch database and count them."""
-    database = f"ledgerloom_raw_{uuid.uuid4().hex[:12]}"
-    t.spark.sql(f"CREATE DATABASE {database} LOCATION '{_scratch(t.spark)}'")
-    return warehouse.load_raw(t.spark, t.by_name(), database)
+    """Load the raw tables into a database, which goes again; each row count comes from the job that writes."""
+    with warehouse.scratch_databases(t.spark, _scratch(t.spark), "raw") as [raw]:
+        return warehouse.load_raw(t.spark, t.by_name(), raw)
+
+
+@query
+def source_tables(t):
+    """The declared sources, read from the catalog: rows, columns, and rows without a first column."""
+    with warehouse.scratch_databases(t.spark, _scratch(t.spark), "raw") as [raw]:
+        warehouse.load_raw(t.spark, t.by_name(), raw)
+        sources = {name: source_table(t.spark, name, raw) for name in TABLES}
+        counted = [
+            df.agg(F.count("*").alias("row_count"), F.count_if(F.col(df.columns[0]).isNull()).alias("unnamed")).select(
+                F.lit(name).alias("table_name"), "row_count", "unnamed", F.lit(", ".join(df.columns)).alias("columns")
+            )
+            for name, df in sources.items()
+        ]
+        rows = profile.union_all(counted)
+        return t.spark.createDataFrame(rows.collect(), rows.schema)
+
+
+@query
+def staging_views(t):
+    """The staging models as views of their layer, read in another session: rows, columns and the sum of a measure."""
+    measures_of = {"stg_orders": "net_revenue", "stg_products": "product_margin_pct", "stg_sales_targets": "target_revenue"}
+    with warehouse.scratch_databases(t.spark, _scratch(t.spark), "raw", "staging") as [raw, layer]:
+        warehouse.load_raw(t.spark, t.by_name(), raw)
+        views = create_staging_views(t.spark, raw, layer, CONFIG)
+        elsewhere = t.spark.newSession()
+        rows = []
+        for model, view in views.items():
+            df = elsewhere.table(view)
+            total = F.sum(F.col(measures_of[model]).cast("double")) if model in measures_of else F.lit(None).cast("double")
+            row = df.agg(F.count("*").alias("n"), F.round(total, 2).alias("total")).first()
+            kind = elsewhere.catalog.getTable(view)
+            rows.append((model, kind.tableType, kind.isTemporary, row.n, len(df.columns), row.total))
+        return t.spark.createDataFrame(rows, "model string, kind string, temporary boolean, row_count long, column_count int, total double")
+
+
+@query
+def csv_corrupt_dates(t):
+    """CSV files with planted bad dates, read with declared types: how many records a raising reader would stop at."""
+    bad_orders = F.when(F.col("order_id") % 97 == 3, "2024-13-45").when(F.col("order_id") % 89 == 4, "not a date")
+    bad_returns = F.when(F.col("order_id") % 83 == 5, "31/12/2024")
+    tables = t.by_name()
+    tables["orders"] = tables["orders"].withColumn("order_date", F.coalesce(bad_orders, F.col("order_date").cast("string")))
+    tables["returns"] = tables["returns"].withColumn("return_date", F.coalesce(bad_returns, F.col("return_date").cast("string")))
+    folder = _scratch(t.spark)
+    for name, df in tables.items():
+        files.write_csv(df.toDF(*[header for header, _ in RAW_COLUMNS[name]]), f"{folder}/{name}")
+    return corrupt_records(load_tables(t.spark, folder, "csv", dates="keep"))
+
+
+@query
+def cleaning_row_counts(t):
+    """Rows read, written and removed by each cleaner, counted by the job that writes."""
+    return runs.clean_and_count(t.by_name(), _scratch(t.spark), CONFIG)

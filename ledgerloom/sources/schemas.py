@@ -46,3 +46,13 @@ RAW_COLUMNS: dict[str, list[tuple[str, str]]] = {
 
 def raw_schema(table: str) -> T.StructType:
     return T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in RAW_COLUMNS[table]))
+
+
+CORRUPT = "_corrupt_record"
+DATES = ("Order Date", "Ship Date", "Launch Date", "Acquisition Date", "Return Date")
+
+
+def typed_schema(table: str, corrupt: bool = False) -> T.StructType:
+    """The declared schema with dates as dates; ``corrupt`` adds the column that keeps records that do not fit."""
+    fields = [f"`{name}` {'date' if name in DATES else kind}" for name, kind in RAW_COLUMNS[table]]
+    return T.StructType.fromDDL(", ".join([*fields, f"{CORRUPT} string"] if corrupt else fields))

@@ -329,6 +329,35 @@ _FINAL["mart_tests"] = "SELECT *, failures = 0 AS passed FROM ({})".format(
         ]
     )
 )
+# Names and columns of the raw tables and staging models.
+_SOURCES = {t: ", ".join(columns) for t, columns in RAW_TYPES.items()} | {"sales_targets": "country, year-month, target_revenue"}
+_FINAL["source_tables"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count, 0 AS unnamed, '{columns}' AS columns FROM raw_{t}" for t, columns in _SOURCES.items()
+)
+_FINAL["staging_views"] = " UNION ALL ".join(
+    f"""SELECT '{model}' AS model, 'VIEW' AS kind, false AS temporary, count(*) AS row_count, {n} AS column_count,
+       {total} AS total FROM {source}"""
+    for model, n, total, source in (
+        ("stg_orders", 15, "CAST(round(sum(net_revenue), 2) AS DOUBLE)", "stg_orders"),
+        ("stg_products", 9, "round(sum(CAST(product_margin_pct AS DOUBLE)), 2)", "stg_products"),
+        ("stg_customers", 7, "CAST(NULL AS DOUBLE)", "raw_customers"),
+        ("stg_returns", 3, "CAST(NULL AS DOUBLE)", "raw_returns"),
+        ("stg_sales_targets", 5, "CAST(round(sum(target_revenue), 2) AS DOUBLE)", "stg_sales_targets"),
+    )
+)
+_FINAL["csv_corrupt_dates"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS records, count(*) FILTER ({bad}) AS corrupt FROM raw_{t}"
+    for t, bad in (
+        ("orders", "order_id % 97 = 3 OR order_id % 89 = 4"), ("products", "false"), ("customers", "false"),
+        ("returns", "order_id % 83 = 5"), ("sales_targets", "false"),
+    )
+)
+_FINAL["cleaning_row_counts"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS rows_read, count({kept}) AS rows_written, count(*) - count({kept}) AS removed FROM raw_{t}"
+    for t, kept in (
+        ("orders", "DISTINCT order_id"), ("products", "*"), ("customers", "*"), ("returns", "DISTINCT order_id"), ("sales_targets", "*"),
+    )
+)
 for _name in ("quality_report", "source_tests", "profile_nulls", "duplicate_rows", "describe_orders", "iqr_outliers"):
     # The same over tables with planted faults; sales targets have none.
     _FINAL[f"{_name}_faulty"] = re.sub(r"\braw_(orders|products|customers|returns)\b", r"faulty_\1", _FINAL[_name])

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.config import RetailConfig
 from ledgerloom.plans import cleaning, enrichment, kpis, marts, quality, scoring, staging
-from ledgerloom.sources.tables import load_tables
+from ledgerloom.sources.schemas import RAW_COLUMNS
+from ledgerloom.sources.tables import corrupt_records, load_tables
 
 CONFIG = RetailConfig()
 D = datetime.date
@@ -270,6 +271,33 @@ def test_csv_source_has_declared_types_and_snake_case_names(spark, tmp_path):
     assert cleaning.clean_orders(tables["orders"]).first().country == "France"
 
 
+def test_text_reader_raises_or_keeps_bad_records(spark, tmp_path):
+    rows = {
+        "orders": ["1,2024-05-01,2024-05-03,c1,p1,FR,Web,2,10.50,0.1,0,Klarna", "2,2024-13-45,2024-05-03,c1,p1,FR,Web,2,10.50,0.1,0,Klarna", "3,2024-05-01,soon,c1,p1,FR,Web,two,10.50,0.1,0,Klarna", "4,,,,,,,,,,,"],
+        "products": ["p1,n,Beauty,s,b,4,10.5,2020-01-01"],
+        "customers": ["c1,n,Consumer,France,Paris,never,Email"],
+        "returns": ["1,2024-06-01,late"],
+        "sales_targets": ["France,2024-05,100"],
+    }
+    for name, lines in rows.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part.csv").write_text("\n".join([",".join(h for h, _ in RAW_COLUMNS[name]), *lines]) + "\n")
+    kept = load_tables(spark, str(tmp_path), dates="keep")
+    assert {r.table_name: (r.records, r.corrupt) for r in corrupt_records(kept).collect()} == {
+        "orders": (4, 2), "products": (1, 0), "customers": (1, 1), "returns": (1, 0), "sales_targets": (1, 0),
+    }
+    by_id = {r.order_id: r for r in kept["orders"].collect()}
+    assert by_id["1"].order_date == D(2024, 5, 1) and by_id["1"]._corrupt_record is None
+    assert by_id["2"].order_date is None and by_id["2"]._corrupt_record == rows["orders"][1]
+    raising = load_tables(spark, str(tmp_path), dates="raise")
+    assert raising["returns"].first().return_date == D(2024, 6, 1)
+    for table in ("orders", "customers"):
+        with pytest.raises(Exception, match="MALFORMED_RECORD"):
+            raising[table].collect()
+    with pytest.raises(ValueError, match="treatment of dates"):
+        load_tables(spark, str(tmp_path), dates="ignore")
+
+
 def test_staging_rules_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "orders")
     orders_frame(spark, [order("a", D(2024, 5, 1)), order("b", D(2024, 5, 1), discount="0.9")]).write.parquet(path)
