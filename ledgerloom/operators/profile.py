@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ledgerloom.operators.dedup import copies_per_key
 from ledgerloom.operators.ranking import edges_by_measure, known_values
 
 
@@ -53,10 +52,23 @@ def profile_tables(tables: dict[str, DataFrame]) -> DataFrame:
     return union_all([null_profile(df).select(F.lit(name).alias("table_name"), "*") for name, df in tables.items()])
 
 
+def fingerprint(df: DataFrame) -> list[Column]:
+    """Two hashes of a whole row, 128 bits together. Equal rows have equal prints; a mask of the NULLs is hashed too."""
+    nulls = F.concat(*[F.when(_quoted(c).isNull(), "1").otherwise("0") for c in df.columns])
+    values = [_quoted(c) for c in df.columns]
+    return [F.xxhash64(nulls, *values).alias("_print_a"), F.xxhash64(F.lit("second"), *reversed(values), nulls).alias("_print_b")]
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier row in every column, as one number."""
-    extra = F.sum(F.col("copies") - 1)
-    return copies_per_key(df, df.columns).agg(F.coalesce(extra, F.lit(0)).alias("duplicates"))
+    """Rows that repeat an earlier row in every column, as one number.
+
+    Prints of 16 bytes are counted first; only rows whose print occurs more than once are compared as a whole.
+    """
+    printed = df.select(*fingerprint(df), F.struct(*[_quoted(c) for c in df.columns]).alias("_row"))
+    repeated = printed.groupBy("_print_a", "_print_b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_print_a", "_print_b")
+    suspects = printed.join(repeated, ["_print_a", "_print_b"], "left_semi")
+    copies = suspects.groupBy("_print_a", "_print_b", "_row").agg(F.count(F.lit(1)).alias("copies"))
+    return copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates"))
 
 
 def duplicate_rows_by_table(tables: dict[str, DataFrame]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.config import RetailConfig
@@ -17,34 +19,34 @@ def _rounded(c: Column, digits: int, name: str) -> Column:
     return F.round(c, digits).alias(name)
 
 
-def mart_commercial_kpis(fct: DataFrame, unique_order_ids: bool = False) -> DataFrame:
+def sums_and_counts(fct: DataFrame, keys: Sequence[str], sums: dict[str, str]) -> DataFrame:
+    """Per group: the sums (column to name), ``rows``, distinct orders as ``orders``, distinct customers as ``customers``.
+
+    Distinct counts side by side would copy every row once for each. Instead each step leaves fewer rows: rows meet by
+    group and order id, where an order counts once even if it names two customers; then by group and customer; then by
+    group. One shuffle serves the first two groupings.
+    """
+    first = [F.sum(column).alias(name) for column, name in sums.items()]
+    again = [F.sum(name).alias(name) for name in (*sums.values(), "rows")]
+    met = fct.repartition(*keys, "order_id")
+    per_order = met.groupBy(*keys, "order_id", "customer_id").agg(*first, F.count("*").alias("rows"))
+    once = F.row_number().over(Window.partitionBy(*keys, "order_id").orderBy("customer_id")) == 1
+    known = F.when(once & F.col("order_id").isNotNull(), 1).otherwise(0)
+    per_customer = per_order.withColumn("known", known).groupBy(*keys, "customer_id").agg(F.sum("known").alias("orders"), *again)
+    return per_customer.groupBy(*keys).agg(F.sum("orders").alias("orders"), F.count("customer_id").alias("customers"), *again)
+
+
+def mart_commercial_kpis(fct: DataFrame) -> DataFrame:
     """Commercial measures by month, country, channel, category, sub-category, brand and discount tier.
 
     Quarter, fiscal year and the text forms of the month follow from year and month, so they are computed from
-    the groups instead of being shuffled with every row. ``unique_order_ids`` promises that no order id occurs
-    twice; then orders are counted without a distinct count.
+    the groups instead of being shuffled with every row.
     """
     dimensions = ["country", "channel", "category", "sub_category", "brand", "disc_tier"]
     keys = ["year", "month", *dimensions]
-    # Only what cannot be derived is summed: the discount amount is gross less net, and staged measures are never
-    # NULL. Orders and customers are counted in steps, each a plain aggregation: an order id has one row after the
-    # first, a customer after the second.
+    # Only what cannot be derived is summed: the discount amount is gross less net, and staged measures are never NULL.
     summed = {"quantity": "total_units", "gross_revenue": "gross", "net_revenue": "net", "cogs": "costs", "gross_profit": "profit", "discount": "discounts", "is_return": "total_returns"}
-    sums = [F.sum(column).alias(name) for column, name in summed.items()]
-    again = [F.sum(name).alias(name) for name in (*summed.values(), "rows")]
-    known = F.when(F.col("order_id").isNotNull(), 1).otherwise(0)
-    if unique_order_ids:
-        orders = fct.withColumn("known", known)
-        per_customer = orders.groupBy(*keys, "customer_id").agg(F.sum("known").alias("orders"), *sums, F.count("*").alias("rows"))
-    else:
-        per_order = fct.groupBy(*keys, "customer_id", "order_id").agg(*sums, F.count("*").alias("rows"))
-        first = F.when(F.row_number().over(Window.partitionBy(*keys, "order_id").orderBy("customer_id")) == 1, known)
-        per_customer = per_order.withColumn("known", first).groupBy(*keys, "customer_id").agg(
-            F.coalesce(F.sum("known"), F.lit(0)).alias("orders"), *again
-        )
-    groups = per_customer.groupBy(*keys).agg(
-        F.sum("orders").alias("total_orders"), F.count("customer_id").alias("unique_customers"), *again
-    )
+    groups = sums_and_counts(fct, keys, summed).withColumnsRenamed({"orders": "total_orders", "customers": "unique_customers"})
     c = F.col
     quarter = F.ceil(c("month") / 3).cast("int")
     year_text = c("year").cast("string")
@@ -98,11 +100,7 @@ def mart_country_targets(fct: DataFrame, targets: DataFrame, config: RetailConfi
     Two columns keep names that promise something else: ``target_achievement_pct`` is actual minus target, and
     the yearly revenues behind the growth are those of the best month of each year.
     """
-    actuals = fct.groupBy("country", "year_month", "year").agg(
-        F.sum("net_revenue").alias("actual_revenue"),
-        F.count_distinct("order_id").alias("orders"),
-        F.count_distinct("customer_id").alias("customers"),
-    )
+    actuals = sums_and_counts(fct, ["country", "year_month", "year"], {"net_revenue": "actual_revenue"}).drop("rows")
     joined = actuals.join(
         targets.select("country", "year_month", "target_revenue"), ["country", "year_month"], "left"
     ).select(

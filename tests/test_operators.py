@@ -181,6 +181,20 @@ def test_duplicate_rows(spark):
     assert profile.duplicate_rows(df.limit(0)).first().duplicates == 0
 
 
+def test_duplicate_rows_with_nulls_and_equal_prints(spark, monkeypatch):
+    rows = [(None, 1), (1, None), (None, 1), (1, 1), (None, None), (None, None), (None, None)]
+    df = spark.createDataFrame(rows, "a int, `b c` int")
+    assert profile.duplicate_rows(df).first().duplicates == 3
+    monkeypatch.setattr(profile, "fingerprint", lambda df: [F.lit(1).alias("_print_a"), F.lit(2).alias("_print_b")])
+    assert profile.duplicate_rows(df).first().duplicates == 3
+
+
+def test_only_prints_are_shuffled_to_be_counted(spark):
+    plan = profile.duplicate_rows(spark.range(9).selectExpr("id", "cast(id AS string) AS text"))._jdf.queryExecution().executedPlan().toString()
+    counted = next(line for line in plan.splitlines() if "HashAggregate" in line and "partial_count" in line and "_row" not in line)
+    assert "keys=[_print_a" in counted and "text" not in counted
+
+
 def test_foreign_key_rules_differ_on_null(spark):
     child = spark.createDataFrame([(1,), (None,), (9,)], "k int")
     parent = spark.createDataFrame([(1,), (2,)], "k int")
