@@ -1,4 +1,7 @@
-"""Reports of lineage A. Every figure is a column; its text form stands next to it."""
+"""Reports of lineage A. Every figure is a column; its text form stands next to it.
+
+Names of metrics and formulas are fixed values.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +13,7 @@ from ledgerloom.config import RetailConfig
 from ledgerloom.functions.calendar import year_month
 from ledgerloom.functions.display import euros, percent, signed_percent, whole
 from ledgerloom.functions.measures import dec, discount_tier_by_bins
+from ledgerloom.operators.storage import materialise
 
 
 def _share(part: Column, total: Column) -> Column:
@@ -31,32 +35,58 @@ def _report(totals: DataFrame, label: str, rows: list[tuple]) -> DataFrame:
     return totals.select(F.inline(F.array(*entries)))
 
 
-def customer_years(enriched: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
-    """Per customer: active in the base year, active in the comparison year, distinct orders.
+def customer_months(enriched: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
+    """The state that the customer, country and headline reports are rolled up from: a row per customer, country, month.
+
+    Every figure adds up over months, countries and customers. Order ids are unique, as cleaning leaves them, so orders
+    are counted once by counting rows. Reports that read the state more than once should get it stored.
+    """
+    deep, full_price = F.col("discount") >= dec(config.deep_discount), F.col("discount") == 0
+    date = F.col("order_date")
+    return enriched.groupBy("customer_id", "country", F.year(date).alias("year"), year_month(date).alias("year_month")).agg(
+        F.count("order_id").alias("orders"),
+        F.sum("net_revenue").alias("net_revenue"),
+        F.max(date).alias("last_order_date"),
+        F.count_if(deep).alias("deep_orders"),
+        *[
+            kind(F.when(condition, F.col("margin_pct"))).alias(f"{name}_{figure}")
+            for name, condition in (("deep", deep), ("full_price", full_price))
+            for figure, kind in (("margins", F.sum), ("margin_rows", F.count))
+        ],
+    )
+
+
+def stored_customer_months(enriched: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
+    """The state, computed once and kept in the shared folder: the orders are read here and nowhere else."""
+    return materialise(customer_months(enriched, config))
+
+
+def customer_years(months: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
+    """Per customer: active in the base year, active in the comparison year, orders.
 
     One aggregation answers who was active, who stayed and who is new; no set operation is needed.
     """
-    year = F.year("order_date")
-    return enriched.groupBy("customer_id").agg(
+    year = F.col("year")
+    return months.groupBy("customer_id").agg(
         F.coalesce(F.bool_or(year == config.base_year), F.lit(False)).alias("active_base"),
         F.coalesce(F.bool_or(year == config.comparison_year), F.lit(False)).alias("active_comparison"),
-        F.count_distinct("order_id").alias("orders"),
+        F.sum("orders").alias("orders"),
     )
 
 
-def retained_customers(enriched: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
-    return customer_years(enriched, config).where("active_base AND active_comparison").select("customer_id")
+def retained_customers(months: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
+    return customer_years(months, config).where("active_base AND active_comparison").select("customer_id")
 
 
-def new_customers(enriched: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
+def new_customers(months: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
     """Active in the comparison year and not in the base year, whatever the acquisition date says."""
-    return customer_years(enriched, config).where("active_comparison AND NOT active_base").select("customer_id")
+    return customer_years(months, config).where("active_comparison AND NOT active_base").select("customer_id")
 
 
-def retention_figures(enriched: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
+def retention_figures(months: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
     """One row with the counts and rates that the retention and the marketing report share."""
     both = F.col("active_base") & F.col("active_comparison")
-    counts = customer_years(enriched, config).agg(
+    counts = customer_years(months, config).agg(
         F.count_if("active_base").alias("base_customers"),
         F.count_if("active_comparison").alias("comparison_customers"),
         F.count_if(both).alias("retained"),
@@ -76,11 +106,11 @@ def retention_figures(enriched: DataFrame, config: RetailConfig = RetailConfig()
     )
 
 
-def retention(enriched: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
+def retention(months: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
     base, comparison = config.base_year, config.comparison_year
     c = F.col
     return _report(
-        retention_figures(enriched, config),
+        retention_figures(months, config),
         "metric",
         [
             (f"Unique Customers {base}", c("base_customers"), whole(c("base_customers"))),
@@ -130,7 +160,7 @@ def kpis_commercial(enriched: DataFrame, returns: DataFrame) -> DataFrame:
     return _report(totals, "kpi", [(n, a, v, F.lit(f).alias("formula")) for n, a, v, f in rows])
 
 
-def kpis_marketing(enriched: DataFrame, analytics: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
+def kpis_marketing(months: DataFrame, analytics: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
     """``analytics`` is the scored customer table of the same orders."""
     champion = F.col("segment") == "Champions"
     scored = analytics.agg(
@@ -144,7 +174,7 @@ def kpis_marketing(enriched: DataFrame, analytics: DataFrame, config: RetailConf
             ).alias("champions_clv"),
         )
     ).scalar()
-    totals = retention_figures(enriched, config).withColumn("scored", scored)
+    totals = retention_figures(months, config).withColumn("scored", scored)
     c = F.col
     rows = [
         ("Unique Customers", c("scored.customers"), whole),
@@ -175,30 +205,32 @@ def disc_impact(enriched: DataFrame) -> DataFrame:
     )
 
 
-def monthly_actual_vs_target(enriched: DataFrame, targets: DataFrame) -> DataFrame:
+def monthly_actual_vs_target(months: DataFrame, targets: DataFrame) -> DataFrame:
     """Net revenue and target per country and month; a month without a target is left out."""
-    actual = enriched.groupBy("country", year_month(F.col("order_date")).alias("year_month")).agg(
-        F.sum("net_revenue").alias("actual")
-    )
+    actual = months.groupBy("country", "year_month").agg(F.sum("net_revenue").alias("actual"))
     wanted = targets.select("country", "year_month", F.col("target_revenue").alias("target"))
     return actual.join(wanted, ["country", "year_month"])
 
 
-def country_kpis(enriched: DataFrame, targets: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
+def country_kpis(months: DataFrame, targets: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
     """Yearly revenue, growth, target achievement and revenue per active customer, by country."""
-    year = F.year("order_date")
     base, comparison = f"rev_{config.base_year}", f"rev_{config.comparison_year}"
 
     def revenue(of: int) -> Column:
-        return F.coalesce(F.sum(F.when(year == of, F.col("net_revenue"))), F.lit(0))
+        return F.coalesce(F.sum(F.when(F.col("year") == of, F.col("net_revenue"))), F.lit(0))
 
-    per_year = enriched.groupBy("country").agg(
+    per_customer = months.groupBy("country", "customer_id").agg(
         revenue(config.base_year).alias(base),
         revenue(config.comparison_year).alias(comparison),
-        F.count_distinct(F.when(year == config.comparison_year, F.col("customer_id"))).alias("active_customers"),
+        F.bool_or(F.col("year") == config.comparison_year).alias("active"),
+    )
+    per_year = per_customer.groupBy("country").agg(
+        F.sum(base).alias(base),
+        F.sum(comparison).alias(comparison),
+        F.count_if(F.col("active") & F.col("customer_id").isNotNull()).alias("active_customers"),
     )
     achieved = (
-        monthly_actual_vs_target(enriched, targets)
+        monthly_actual_vs_target(months, targets)
         .groupBy("country")
         .agg((_share(F.sum("actual"), F.sum("target")) * 100).alias("target_achievement_pct"))
     )
@@ -222,10 +254,8 @@ def country_kpis_display(kpis: DataFrame, config: RetailConfig = RetailConfig())
     return ordered.select("country", *[F.bround(c, 1).alias(c) for c in kpis.columns if c != "country"])
 
 
-def headline_numbers(enriched: DataFrame, analytics: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
-    year = F.year("order_date")
-    deep = F.col("discount") >= dec(config.deep_discount)
-    full_price = F.col("discount") == 0
+def headline_numbers(months: DataFrame, analytics: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
+    year = F.col("year")
     segments = analytics.agg(
         F.struct(
             F.count_if(F.col("segment") == "Champions").alias("champions"),
@@ -234,13 +264,13 @@ def headline_numbers(enriched: DataFrame, analytics: DataFrame, config: RetailCo
     ).scalar()
     c = F.col
     totals = (
-        enriched.agg(
+        months.agg(
             F.sum(F.when(year == config.base_year, c("net_revenue"))).alias("base"),
             F.sum(F.when(year == config.comparison_year, c("net_revenue"))).alias("comparison"),
-            F.count_if(deep).alias("deep_orders"),
+            F.coalesce(F.sum("deep_orders"), F.lit(0)).alias("deep_orders"),
             # Means of doubles: digits past the ninth depend on the order in which tasks finish.
-            F.round(F.avg(F.when(deep, c("margin_pct"))), 9).alias("deep_margin"),
-            F.round(F.avg(F.when(full_price, c("margin_pct"))), 9).alias("full_price_margin"),
+            F.round(_share(F.sum("deep_margins"), F.sum("deep_margin_rows")), 9).alias("deep_margin"),
+            F.round(_share(F.sum("full_price_margins"), F.sum("full_price_margin_rows")), 9).alias("full_price_margin"),
         )
         .withColumn("growth", _share(c("comparison"), c("base")) - 1)
         .withColumn("compression", F.round(c("full_price_margin") - c("deep_margin"), 9))

@@ -74,16 +74,18 @@ def run_enrichment(
     write_parquet(scoring.customer_analytics(enriched, config), f"{curated}/customer_analytics")
     analytics = read_parquet(spark, f"{curated}/customer_analytics")
     write_csv(analytics, f"{curated}/csv/customer_analytics")
+    write_parquet(kpis.customer_months(enriched, config), f"{curated}/customer_months")
+    months = read_parquet(spark, f"{curated}/customer_months")
     reports = {
-        "customer_retention_analysis": kpis.retention(enriched, config),
+        "customer_retention_analysis": kpis.retention(months, config),
         "kpis_commercial": kpis.kpis_commercial(enriched, returns),
-        "kpis_marketing": kpis.kpis_marketing(enriched, analytics, config),
-        "country_kpis": kpis.country_kpis(enriched, targets, config),
+        "kpis_marketing": kpis.kpis_marketing(months, analytics, config),
+        "country_kpis": kpis.country_kpis(months, targets, config),
     }
     for name, report in reports.items():
         write_parquet(report, f"{curated}/{name}")
         write_csv(read_parquet(spark, f"{curated}/{name}"), f"{curated}/csv/{name}", single_file=True)
-    stored = ("orders_enriched", "dim_date", "customer_analytics", *reports)
+    stored = ("orders_enriched", "dim_date", "customer_analytics", "customer_months", *reports)
     return {name: read_parquet(spark, f"{curated}/{name}") for name in stored}
 
 

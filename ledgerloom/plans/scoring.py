@@ -54,7 +54,22 @@ def int_customer_rfm(enriched: DataFrame, config: RetailConfig = RetailConfig())
 
 def customer_analytics(enriched: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
     """Lineage A: scores by value, equal values together; revenue stays unrounded."""
-    base = rfm_base(enriched, config).drop("first_order_date", "last_order_date")
+    return analytics_of(rfm_base(enriched, config).drop("first_order_date", "last_order_date"), config)
+
+
+def analytics_of_months(months: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
+    """The same table from the state per customer, country and month."""
+    last = F.max("last_order_date")
+    base = months.groupBy("customer_id").agg(
+        F.datediff(F.lit(config.snapshot_date).cast("date"), last).alias("recency"),
+        F.sum("orders").alias("frequency"),
+        # A sum of sums widens its type, and a product of it would lose digits.
+        F.coalesce(F.sum("net_revenue"), F.lit(0)).cast("decimal(28,6)").alias("monetary"),
+    )
+    return analytics_of(base, config)
+
+
+def analytics_of(base: DataFrame, config: RetailConfig = RetailConfig()) -> DataFrame:
     scored = _scored(bins_by_quantile(base, _measures()), "_bin")
     return scored.select(
         "customer_id", "recency", "frequency", "monetary", "r", "f", "m", "rfm_score", "segment",

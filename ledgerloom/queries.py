@@ -327,19 +327,27 @@ def segment_distribution(t):
     return scoring.segment_distribution(customer_analytics(t))
 
 
+def customer_months(t):
+    return kpis.customer_months(orders_enriched(t), CONFIG)
+
+
+def stored_customer_months(t):
+    return kpis.stored_customer_months(orders_enriched(t), CONFIG)
+
+
 @query
 def retention(t):
-    return kpis.retention(orders_enriched(t), CONFIG)
+    return kpis.retention(customer_months(t), CONFIG)
 
 
 @query
 def retained_customers(t):
-    return kpis.retained_customers(orders_enriched(t), CONFIG)
+    return kpis.retained_customers(customer_months(t), CONFIG)
 
 
 @query
 def new_customers(t):
-    return kpis.new_customers(orders_enriched(t), CONFIG)
+    return kpis.new_customers(customer_months(t), CONFIG)
 
 
 @query
@@ -354,8 +362,8 @@ def kpis_commercial(t):
 
 @query
 def kpis_marketing(t):
-    enriched = orders_enriched(t)
-    return kpis.kpis_marketing(enriched, scoring.customer_analytics(enriched, CONFIG), CONFIG)
+    months = stored_customer_months(t)
+    return kpis.kpis_marketing(months, scoring.analytics_of_months(months, CONFIG), CONFIG)
 
 
 @query
@@ -365,12 +373,12 @@ def disc_impact(t):
 
 @query
 def monthly_actual_vs_target(t):
-    return kpis.monthly_actual_vs_target(orders_enriched(t), clean_targets(t))
+    return kpis.monthly_actual_vs_target(customer_months(t), clean_targets(t))
 
 
 @query
 def country_kpis(t):
-    return kpis.country_kpis(orders_enriched(t), clean_targets(t), CONFIG)
+    return kpis.country_kpis(stored_customer_months(t), clean_targets(t), CONFIG)
 
 
 @query
@@ -380,8 +388,8 @@ def country_kpis_display(t):
 
 @query
 def headline_numbers(t):
-    enriched = orders_enriched(t)
-    return kpis.headline_numbers(enriched, scoring.customer_analytics(enriched, CONFIG), CONFIG)
+    months = stored_customer_months(t)
+    return kpis.headline_numbers(months, scoring.analytics_of_months(months, CONFIG), CONFIG)
 
 
 # --- single functions over whole columns -------------------------------------------------------------------

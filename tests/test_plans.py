@@ -186,15 +186,35 @@ def test_retention(spark):
         order("1", D(2024, 1, 1), customer="left"), order("2", D(2025, 1, 1), customer="new"),
         order("3", D(2024, 1, 1), customer="stays"), order("4", D(2025, 1, 1), customer="stays"),
     ]
-    enriched = enriched_a(spark, rows)
-    figures = kpis.retention_figures(enriched).first()
+    months = kpis.customer_months(enriched_a(spark, rows))
+    figures = kpis.retention_figures(months).first()
     assert (figures.base_customers, figures.comparison_customers, figures.retained, figures.new_customers) == (2, 2, 1, 1)
     assert figures.churn_rate == 1 - figures.retention_rate == 0.5
     assert figures.repeat_rate == pytest.approx(1 / 3)
-    texts = {r.metric: r.value for r in kpis.retention(enriched).collect()}
+    texts = {r.metric: r.value for r in kpis.retention(months).collect()}
     assert texts["Retained (2024 → 2025)"] == "1" and texts["Customer Growth %"] == "+0.0%"
-    assert [r.customer_id for r in kpis.new_customers(enriched).collect()] == ["new"]
-    assert [r.customer_id for r in kpis.retained_customers(enriched).collect()] == ["stays"]
+    assert [r.customer_id for r in kpis.new_customers(months).collect()] == ["new"]
+    assert [r.customer_id for r in kpis.retained_customers(months).collect()] == ["stays"]
+
+
+def test_reports_come_from_one_state(spark, tmp_path):
+    enriched_a(spark, [order(f"{c}-{i}", D(2024 + c % 2, c % 12 + 1, i % 27 + 1), customer=f"c{c:02}", price=str(50 + c), discount=f"0.{c % 5}") for c in range(40) for i in range(c % 7 + 1)]).write.parquet(f"{tmp_path}/e")
+    enriched = spark.read.parquet(f"{tmp_path}/e")
+    group = "state"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        months = kpis.stored_customer_months(enriched)
+        reading = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        analytics = scoring.analytics_of_months(months)
+        targets = cleaning.clean_targets(targets_frame(spark, [("France", "2024-01", "200")]))
+        reports = [kpis.kpis_marketing(months, analytics), kpis.country_kpis(months, targets), kpis.headline_numbers(months, analytics), kpis.retention(months)]
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == reading <= 4
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    for report in reports:
+        assert "FileScan" not in report._jdf.queryExecution().executedPlan().toString() and report.count() > 0
+    want = scoring.customer_analytics(enriched)
+    assert sorted(map(str, analytics.collect())) == sorted(map(str, want.select(analytics.columns).collect()))
 
 
 def test_country_kpis_drop_months_without_target(spark):
@@ -205,7 +225,7 @@ def test_country_kpis_drop_months_without_target(spark):
     targets = cleaning.clean_targets(
         targets_frame(spark, [("France", "2024-01", "200"), ("France", "2025-01", "400"), ("Spain", "2025-01", "50")])
     )
-    got = {r.country: r for r in kpis.country_kpis(enriched_a(spark, rows), targets).collect()}
+    got = {r.country: r for r in kpis.country_kpis(kpis.customer_months(enriched_a(spark, rows)), targets).collect()}
     assert (got["France"].rev_2024, got["France"].rev_2025, got["France"].yoy_growth_pct) == (1000, 500, -50)
     assert got["France"].target_achievement_pct == 100 and got["France"].rev_per_customer == 500
     assert (got["Spain"].rev_2024, got["Spain"].yoy_growth_pct, got["Spain"].target_achievement_pct) == (0, None, 200)
