@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from ledgerloom.llm.batches import groups_of_rows
 from ledgerloom.llm.columns import quoted
 from ledgerloom.llm.encoding import encoder
+from ledgerloom.llm.hashing import mixed
 from ledgerloom.llm.storage import checkpointed, new_folder
 
 FREQUENT = 1 << 18  # id pairs whose counts are sent to every task
@@ -116,22 +117,55 @@ class Aligner:
         self.vocabularies = Vocabulary(self.first.spelled), Vocabulary(self.second.spelled)
         self.windows = Windows(*self.vocabularies)
 
-    def cut(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
-        """The windows: between shared ends after which both go on with a space."""
+    def cut(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First tokens of the windows: they begin at shared ends after which both go on with a space."""
+        if not len(a):
+            return (np.zeros(0, np.int64),) * 2
         ends, places = [], []
         for ids, vocabulary in zip((a, b), self.vocabularies):
             before_space = np.flatnonzero(vocabulary.spaced[ids[1:]])
             ends.append(np.cumsum(vocabulary.sizes[ids])[before_space])
-            places.append((before_space + 1) * 4)
+            places.append(before_space + 1)
         near = np.searchsorted(ends[1], ends[0])
         shared = near < len(ends[1])
         shared[shared] = ends[1][near[shared]] == ends[0][shared]
-        keys = []
-        for ids, at in ((a, places[0][shared]), (b, places[1][near[shared]])):
-            data = ids.tobytes()
-            edges = [0, *at.tolist(), len(data)]
-            keys.append([data[s:e] for s, e in zip(edges, edges[1:])])
-        return zip(*keys)
+        return np.append(0, places[0][shared]), np.append(0, places[1][near[shared]])
+
+    def number(self, a: np.ndarray, b: np.ndarray, a_starts: np.ndarray, b_starts: np.ndarray) -> np.ndarray:
+        """The number of each window among the remembered ones; new ones are aligned first.
+
+        Equal windows of the group are found by a hash and compared token by token, so each is looked up once.
+        """
+        sides = []
+        for ids, starts in ((a, a_starts), (b, b_starts)):
+            lengths = np.diff(starts, append=len(ids))
+            first = np.repeat(starts, lengths)
+            within = np.arange(len(ids)) - first
+            hashed = mixed(ids.astype(np.uint64) + (within.astype(np.uint64) << np.uint64(32)))
+            total = np.add.reduceat(hashed, starts) if len(starts) else np.zeros(0, np.uint64)
+            sides.append((ids, starts, lengths, within, total))
+        both = mixed(sides[0][4]) + sides[1][4]
+        _, example, same_as = np.unique(both, return_index=True, return_inverse=True)
+        differs = np.zeros(len(both), bool)
+        for ids, starts, lengths, within, _ in sides:
+            other = example[same_as]
+            unlike = lengths != lengths[other]
+            if not unlike.any() and len(ids):
+                token_differs = ids[np.repeat(starts[other], lengths) + within] != ids
+                unlike = np.add.reduceat(token_differs, starts, dtype=np.int64) > 0
+            differs |= unlike
+        if differs.any():  # another window with the same hash stands for itself
+            same_as[differs] = len(example) + np.arange(int(differs.sum()))
+            example = np.append(example, np.flatnonzero(differs))
+        parts = []
+        for ids, starts, lengths, _, _ in sides:
+            data, first = ids.tobytes(), starts[example] * 4
+            parts.append([data[s:e] for s, e in zip(first.tolist(), (first + lengths[example] * 4).tolist())])
+        keys, known = list(zip(*parts)), self.windows
+        found = list(map(known.get, keys))
+        known.learn(list(dict.fromkeys([key for key, n in zip(keys, found) if n is None])))
+        numbers = np.array([known[key] if n is None else n for key, n in zip(keys, found)], np.int64)
+        return numbers[same_as]
 
     def encode(self, texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of both tokenizers for each text; none where a tokenizer's tokens do not spell the text."""
@@ -139,33 +173,41 @@ class Aligner:
         for text in texts:
             spelled = b" " + (text or "").encode()
             [a], b = self.first.encode([" " + (text or "")], plain=True), self.second.encode(text or "")
-            whole = text and all(
-                b"".join([tokenizer.spelled[i] for i in ids.tolist()]) == spelled for tokenizer, ids in ((self.first, a), (self.second, b))
-            )
+            # Merging bytes keeps them, which the lengths confirm; what the piece model itself says is spelled out.
+            whole = text and all(int(v.sizes[ids].sum()) == len(spelled) for v, ids in zip(self.vocabularies, (a, b)))
+            if whole and LONGER.search(text):
+                whole = b"".join([self.second.spelled[i] for i in b.tolist()]) == spelled
             yield (a.astype("<u4"), b.astype("<u4")) if whole else (none, none)
 
     def align(self, texts: Sequence[str | None]) -> Iterator[tuple]:
-        """For each text: numbers of tokens, groups and links, digest of the groups, distinct links and how often."""
+        """For each text: numbers of tokens, groups and links, digest of the groups, distinct links and how often.
+
+        The texts of a group are laid end to end. Each begins with a space, so windows never reach over a text's end.
+        """
         if len(self.windows.links) > self.remembered:
             self.windows = Windows(*self.vocabularies)
-        known = self.windows
         encoded = list(self.encode(texts))
-        cut = [list(self.cut(a, b)) if len(a) else [] for a, b in encoded]
-        found = [list(map(known.get, keys)) for keys in cut]
-        known.learn(list(dict.fromkeys([key for keys, numbers in zip(cut, found) for key, n in zip(keys, numbers) if n is None])))
-        starts, all_links, all_groups = (np.frombuffer(x, kind) for x, kind in ((known.start, "i8"), (known.links, "u8"), (known.groups, "i8")))
-        for (a, b), keys, numbers in zip(encoded, cut, found):
-            if not keys:
+        a, b = (np.concatenate([np.zeros(0, "<u4"), *[pair[side] for pair in encoded]]) for side in (0, 1))
+        a_starts, b_starts = self.cut(a, b)
+        numbers = self.number(a, b, a_starts, b_starts)
+        known = self.windows
+        starts, all_links, groups = (np.frombuffer(x, kind) for x, kind in ((known.start, "i8"), (known.links, "u8"), (known.groups, "i8")))
+        lengths = starts[numbers + 1] - starts[numbers]
+        link_ends = np.cumsum(lengths)
+        links = all_links[np.repeat(starts[numbers] - (link_ends - lengths), lengths) + np.arange(lengths.sum())]
+        group_ends, link_ends = np.cumsum(np.append(0, groups[numbers])), np.append(0, link_ends)
+        del starts, all_links, groups
+        written = [known.text[n] for n in numbers.tolist()]
+        text_ends = np.cumsum([0, *[len(x) for x, _ in encoded]])
+        windows = np.searchsorted(a_starts, text_ends)
+        for (x, y), first, last in zip(encoded, windows[:-1].tolist(), windows[1:].tolist()):
+            if not len(x):
                 yield 0, 0, 0, 0, "", np.zeros(0, np.uint64), np.zeros(0, np.int64)
                 continue
-            numbers = [known[key] if n is None else n for key, n in zip(keys, numbers)]
-            at = np.array(numbers, np.int64)
-            lengths = starts[at + 1] - starts[at]
-            ends = np.cumsum(lengths)
-            links = all_links[np.repeat(starts[at] - (ends - lengths), lengths) + np.arange(ends[-1])]
-            pairs, times = np.unique(links, return_counts=True)
-            digest = hashlib.sha256(";".join([known.text[k] for k in numbers]).encode()).hexdigest()
-            yield len(a), len(b), int(all_groups[at].sum()), len(links), digest, pairs, times
+            own = links[link_ends[first] : link_ends[last]]
+            pairs, times = np.unique(own, return_counts=True)
+            digest = hashlib.sha256(";".join(written[first:last]).encode()).hexdigest()
+            yield len(x), len(y), int(group_ends[last] - group_ends[first]), len(own), digest, pairs, times
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}

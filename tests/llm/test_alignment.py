@@ -115,6 +115,13 @@ def test_windows_are_forgotten_without_effect():
     assert len(tool.windows) == 3 and tool.windows.learn([]) is None
 
 
+def test_windows_with_equal_hashes_stand_for_themselves(monkeypatch):
+    texts = ["one two three two", None, "three one don't", "x▁y", "two  two"]
+    want = [t[:5] for t in alignment.Aligner(*FILES).align(texts)]
+    monkeypatch.setattr(alignment, "mixed", lambda x: x & np.uint64(1))
+    assert [t[:5] for t in alignment.Aligner(*FILES).align(texts)] == want
+
+
 def test_learnt_windows_share_bytes():
     a, b = alignment.Vocabulary([b"xx", b"x", b"xxxx", b"xxx"]), alignment.Vocabulary([b"xxx", b"xxxx", b"xx"])
     known = alignment.Windows(a, b)
