@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from ledgerloom.llm import exact_dedup, mixing, sharding
+from ledgerloom.llm import bit_filter, exact_dedup, mixing, sharding
 from ledgerloom.llm.prefix import prefix_sums
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -34,10 +34,18 @@ def test_exact_dedup_keeps_one_row_of_each_text_and_all_columns(make_docs, hard_
     assert {r.doc_id for r in rows if r.text == "alpha beta gamma"} == {4}
 
 
-def test_exact_dedup_full_filter_changes_nothing(make_docs, monkeypatch):
-    monkeypatch.setattr("ledgerloom.llm.bit_filter.BITS", 32768)
-    docs = make_docs([(i, f"{i % 300} text") for i in range(900)])
-    assert {r.group_size for r in exact_dedup.copy_groups(docs).collect()} == {3}
+def test_exact_dedup_full_filter_changes_nothing(spark, make_docs, monkeypatch):
+    asked = []
+
+    def full(hashes, bits=0):
+        asked.append(hashes)
+        return bit_filter.bit_filter(spark.range(32768), 32768)
+
+    monkeypatch.setattr(exact_dedup, "bit_filter", full)
+    monkeypatch.setattr(exact_dedup, "may_hold", lambda value, hashed: bit_filter.may_hold(value, hashed, 32768))
+    docs = make_docs([(i, f"{i % 300} text") for i in range(900)] + [(1000 + i, f"single {i}") for i in range(50)])
+    rows = exact_dedup.copy_groups(docs).collect()
+    assert len(asked) == 2 and {r.group_size for r in rows if r.doc_id < 900} == {3} and {r.group_size for r in rows if r.doc_id >= 1000} == {1}
 
 
 def jump(key: int, shards: int) -> int:

@@ -96,7 +96,6 @@ def test_groups_of_hard_rows(make_docs, hard_rows, words, percent):
 def test_groups_of_random_texts(make_docs, seed, block, monkeypatch):
     draw = random.Random(seed)
     monkeypatch.setattr(ngram_join, "BLOCK", block)
-    monkeypatch.setattr(ngram_join, "DENSE", 3)
     bases = [[f"{b}w{draw.randrange(400)}" for _ in range(draw.choice([4, 9, 12, 30, 100, 260]))] for b in range(8)]
     rows = []
     for k in range(150):
@@ -108,6 +107,16 @@ def test_groups_of_random_texts(make_docs, seed, block, monkeypatch):
         assert groups(make_docs(rows), words, percent) == plain_groups(rows, words, percent)
 
 
+@pytest.mark.parametrize("dense", [1, 3, 16, 100])
+def test_overlaps_by_pairs_and_by_dense_columns(monkeypatch, dense):
+    monkeypatch.setattr(ngram_join, "DENSE", dense)
+    monkeypatch.setattr(ngram_join, "COLUMNS", 7)
+    draw = np.random.default_rng(dense)
+    sets = [np.unique(draw.integers(0, 60, draw.integers(0, 40)).astype(np.uint64)) for _ in range(30)]
+    found = ngram_join.overlaps(sets)
+    assert all(found[i, j] == len(np.intersect1d(a, b)) for i, a in enumerate(sets) for j, b in enumerate(sets) if i != j)
+
+
 @pytest.mark.parametrize("percent, loss", [(90, 5), (80, 3)])
 def test_linked_sets_share_a_signature(percent, loss):
     draw = random.Random(4)
