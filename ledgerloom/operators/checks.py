@@ -167,10 +167,12 @@ def _figures(counts: DataFrame, figures: dict[str, Column], listed: dict[str, in
     def own(domain: int) -> Column:
         return (F.col("domain") == domain) & F.col("key").isNotNull()
 
-    # Rows that are not listed have no slot; they leave each task as one row.
+    # First one row for all that is not listed, by plain hash aggregation; then the lists, which are short by comparison.
     is_listed = F.col("key").isNotNull() & F.col("domain").isin(*listed.values())
-    slot = counts.groupBy(F.when(is_listed, F.pmod(F.xxhash64("key"), F.lit(SLOTS))).alias("slot")).agg(
-        *sums,
+    shown = F.when(is_listed, F.struct("domain", "key")).alias("shown")
+    summed = counts.groupBy(shown).agg(*sums).select("shown.domain", "shown.key", *figures)
+    slot = summed.groupBy(F.when(F.col("key").isNotNull(), F.pmod(F.xxhash64("key"), F.lit(SLOTS))).alias("slot")).agg(
+        *[F.sum(name).alias(name) for name in figures],
         *[F.count_if(own(d)).alias(f"{name} n") for name, d in listed.items()],
         *[F.slice(F.sort_array(F.collect_list(F.when(own(d), F.col("key")))), 1, LISTED).alias(f"{name} least") for name, d in listed.items()],
     )

@@ -46,10 +46,10 @@ def fct_orders(
     returns: DataFrame,
     on_duplicate_returns: str = "fan_out",
 ) -> DataFrame:
-    """Lineage B: the fact table, one row per staged order, with ``is_return`` and ``return_reason``.
+    """Lineage B: the fact table, one row per staged order and return of it, with ``is_return`` and ``return_reason``.
 
     ``fan_out`` joins the returns as they are: an order that was returned twice has two rows, which the uniqueness
-    test on the order id then reports. ``first`` keeps only the earliest return of an order.
+    test on the order id then reports. ``first`` keeps only the earliest return, so one row per order.
     """
     if on_duplicate_returns == "first":
         returns = keep_first(returns, ["order_id"], ["return_date", "return_reason"])

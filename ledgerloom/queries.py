@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -464,7 +465,7 @@ def _scratch(spark: SparkSession) -> str:
     """A new folder in the shared checkpoint folder, or in a temporary one for a local session."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="ledgerloom-")
     return f"{shared.rstrip('/')}/ledgerloom-{uuid.uuid4().hex}"
