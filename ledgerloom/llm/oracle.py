@@ -122,10 +122,63 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+CHAT_FORMAT = r"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), measured AS (
+    SELECT *, length(text) + length(regexp_replace(text, '[^\\#<]', '', 'g')) AS text_chars,
+        length(role) + length(regexp_replace(role, '[^\\#<:\n]', '', 'g')) AS role_chars
+    FROM said
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(length('### ' || ':' || chr(10)) + role_chars + text_chars + length('</turn>' || chr(10)))::BIGINT AS formatted_chars
+FROM measured GROUP BY conv_id
+"""
+
+
+def _jump(shards: int) -> str:
+    """Jump consistent hashing as a fold over as many steps as there are shards; the generator is exact in 128 bits."""
+    return f"""list_reduce(
+        list_transform(range({shards + 1}), lambda i: {{'bucket': -1::BIGINT, 'next': 0::BIGINT, 'state': key}}),
+        lambda s, i: CASE WHEN s.next >= {shards} THEN s ELSE {{
+            'bucket': s.next,
+            'next': floor((s.next + 1) * (2147483648.0::DOUBLE
+                / (((s.state * 2862933555777941757 + 1) % 18446744073709551616) // 8589934592 + 1)::DOUBLE))::BIGINT,
+            'state': (s.state * 2862933555777941757 + 1) % 18446744073709551616}} END).bucket::INT"""
+
+
+SHARD = f"""
+WITH steps AS (
+    SELECT list(list_reduce(
+        list_prepend(b, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY b) AS step
+    FROM range(256) t(b)
+), keyed AS (
+    SELECT doc_id, coalesce(text, '') AS text, ((coalesce(doc_id, 0)::HUGEINT + 18446744073709551616) % 18446744073709551616)::HUGEINT AS key
+    FROM documents
+), summed AS (
+    SELECT *, hex(encode(text)) AS digits FROM keyed
+), hashed AS (
+    SELECT doc_id, text, (strlen(text) + 16)::BIGINT AS size, {_jump(40)} AS shard, {_jump(41)} AS grown_shard,
+        xor(list_reduce(
+            list_prepend(4294967295, list_transform(range(strlen(text)), lambda i: ('0x' || substr(digits, 2 * i + 1, 2))::BIGINT)),
+            lambda c, b: xor(c // 256, step[xor(c % 256, b) + 1])), 4294967295)::BIGINT AS text_crc32
+    FROM summed, steps
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+    row_number() OVER (PARTITION BY shard ORDER BY md5(coalesce(doc_id::VARCHAR, text)), doc_id, text_crc32) - 1 AS slot, grown_shard
+FROM hashed
+"""
+
 ORACLE_SQL = {
     "op1_mix_sources": MIX,
     "op2_substring_dedup": SUBSTRING_DEDUP,
     "op4_exact_dedup": EXACT_DEDUP,
+    "op5_chat_format": CHAT_FORMAT,
+    "op7_shard": SHARD,
     "op8_ngram_join": NGRAM_JOIN,
     "op12_quality_rules": QUALITY_RULES,
 }
