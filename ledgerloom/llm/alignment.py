@@ -23,7 +23,7 @@ from ledgerloom.llm.hashing import mixed
 from ledgerloom.llm.storage import checkpointed, new_folder
 
 FREQUENT = 1 << 18  # id pairs whose counts are sent to every task
-REMEMBERED = 3 << 20  # links in remembered windows
+REMEMBERED = 2 << 20  # links in remembered windows
 HELD_PAIRS = 1 << 20
 LONGER = re.compile("[^\x00-\u07ff]")  # characters of three bytes and more
 ID_BITS = 32  # an id pair is one number: first id, second id in the lower bits
