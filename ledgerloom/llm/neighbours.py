@@ -13,12 +13,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.llm.columns import quoted
 
-CENTROIDS = 32  # per half; at most 62, as the cells of a block are one bit mask
 SAMPLE = 20_000
 TRIAL_QUERIES = 256
 RECALL = 0.97
 BLOCK_ROWS = 4096
-ROW = "block int, part int, kind int, id long, cell int, wanted long, vector array<double>"
+ROW = "block int, part int, kind int, id long, cell int, wanted binary, vector array<double>"
 
 
 @dataclass(frozen=True)
@@ -53,18 +52,26 @@ class Index:
             if j == 0 and i + 1 < len(order_one):
                 heapq.heappush(heap, (one[order_one[i + 1]] + two[order_two[0]], i + 1, 0))
 
-    def wanted(self, vector: np.ndarray, share: float | None = None) -> dict[int, int]:
-        """First-half centroid to a bit mask of second-half centroids: cells until the share of rows is reached."""
+    def wanted(self, vector: np.ndarray, share: float | None = None) -> dict[int, bytes]:
+        """First-half centroid to a bit map of second-half centroids: cells until the share of rows is reached."""
         enough = (self.share if share is None else share) * self.rows.sum()
-        masks: dict[int, int] = {}
+        cells: dict[int, list[int]] = {}
         seen = 0
         for i, j in self.traverse(vector):
             if self.rows[i, j]:
-                masks[i] = masks.get(i, 0) | 1 << j
+                cells.setdefault(i, []).append(j)
                 seen += self.rows[i, j]
                 if seen >= enough:
                     break
-        return masks
+        maps = np.zeros((len(cells), self.rows.shape[1]), np.uint8)
+        for row, chosen in zip(maps, cells.values()):
+            row[chosen] = 1
+        return dict(zip(cells, (m.tobytes() for m in np.packbits(maps, axis=1, bitorder="little"))))
+
+
+def centroids_for(rows: int) -> int:
+    """Centroids per half. Their pairs, the cells, grow as the square root of the rows, and so does a cell."""
+    return max(8, math.ceil(3 * rows**0.25))
 
 
 def nearest_centroid(points: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -115,11 +122,20 @@ def usable(vector: Column, size: int) -> Column:
     return vector.isNotNull() & (F.size(vector) == size) & finite & F.exists(number, lambda x: x != 0)
 
 
-def build_index(vectors: DataFrame, k: int, centroids: int = CENTROIDS, sample: int = SAMPLE, recall: float = RECALL) -> Index | None:
-    """Fit on at most ``sample`` vectors (the start of a scattered order of the ids), then count all rows per cell."""
-    drawn = vectors.orderBy(F.md5(F.col("id").cast("string")), "id").limit(sample).select("vector").toPandas()
-    if drawn.empty:
+def build_index(vectors: DataFrame, k: int, centroids: int | None = None, sample: int = SAMPLE, recall: float = RECALL) -> Index | None:
+    """Fit on at most ``sample`` vectors (the start of a scattered order of the ids), then count all rows per cell.
+
+    Ids far from the start are left out where they lie, so only about twice the sample is sorted and sent.
+    """
+    n = vectors.count()
+    if not n:
         return None
+    scatter = F.md5(F.col("id").cast("string"))
+    early = F.substring(scatter, 1, 8) <= f"{min(0xFFFFFFFF, int(2.0 * sample / n * (1 << 32))):08x}"
+    drawn = vectors.where(early).orderBy(scatter, "id").limit(sample).select("vector").toPandas()
+    if drawn.empty:  # every row has one and the same late id
+        drawn = vectors.limit(1).select("vector").toPandas()
+    centroids = centroids or centroids_for(n)
     points = np.array(drawn["vector"].tolist(), np.float64)
     half = max(1, points.shape[1] // 2)
     first, second = quantise(points[:, :half], centroids), quantise(points[:, half:], centroids)
@@ -141,7 +157,7 @@ def with_cells(vectors: DataFrame, index: Index) -> DataFrame:
                 one, two = index.cell(np.array(batch["vector"].tolist(), np.float64))
                 part = batch["id"].to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
                 part = (part % parts[one].astype(np.uint64)).astype(np.int32)
-                yield pd.DataFrame({"block": one, "part": part, "kind": 0, "id": batch["id"], "cell": two, "wanted": 0, "vector": batch["vector"]})
+                yield pd.DataFrame({"block": one, "part": part, "kind": 0, "id": batch["id"], "cell": two, "wanted": b"", "vector": batch["vector"]})
 
     return vectors.select("id", "vector").mapInPandas(entries, ROW)
 
@@ -168,7 +184,8 @@ def _rerank(ids: np.ndarray, cells: np.ndarray, vectors: np.ndarray, squares: np
     """The ``k`` nearest entries of each query in the cells it visits, by the exact distance."""
     asked = np.array(queries["vector"].tolist(), np.float64)
     rough = (asked**2).sum(axis=1)[:, None] + squares[None] - 2 * asked @ vectors.T
-    visited = (queries["wanted"].to_numpy()[:, None] >> cells[None]) & 1
+    maps = np.frombuffer(b"".join(queries["wanted"]), np.uint8).reshape(len(queries), -1)
+    visited = np.unpackbits(maps, axis=1, bitorder="little")[:, cells]
     names = queries["id"].to_numpy()
     rough[(visited == 0) | (ids[None] == names[:, None])] = np.inf
     for row, name, vector in zip(rough, names, asked):

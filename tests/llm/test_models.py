@@ -62,6 +62,19 @@ def test_toxicity_without_rows_or_with_one_class(spark, make_docs, empty_docs):
     assert {r.score for r in toxicity.score_documents(docs, nulls).collect()} == {0.0}
 
 
+def test_cells_grow_with_the_table_and_the_sample_is_cut_first(spark):
+    assert [neighbours.centroids_for(n) for n in (1, 500, 25_000, 10**9)] == [8, 15, 38, 534]
+    draw = np.random.default_rng(3)
+    df = spark.createDataFrame([(k, draw.normal(size=4).tolist()) for k in range(3000)], "id long, vector array<double>")
+    index = neighbours.build_index(df, 10, sample=200)
+    assert index.rows.sum() == 3000 and index.rows.shape == (23, 23)
+    wide = neighbours.build_index(df, 10, centroids=100, sample=1000)
+    seen = {i: np.unpackbits(np.frombuffer(m, np.uint8), bitorder="little")[: wide.rows.shape[1]] for i, m in wide.wanted(np.zeros(4), 0.5).items()}
+    assert 1500 <= sum(int((wide.rows[i] * m).sum()) for i, m in seen.items()) <= 1600
+    same = spark.createDataFrame([(7, [1.0, 2.0])] * 50, "id long, vector array<double>")
+    assert neighbours.build_index(same, 10, sample=1).rows.sum() == 50
+
+
 def plain_neighbours(rows, queries, k=10):
     good = {}
     for name, v in rows:
