@@ -22,6 +22,7 @@ LEAST_ODDS = 2.0  # an entry is so much likelier in toxic documents: log odds, s
 STEM = 5
 NEAR = 4
 FOLDS = 5
+FIT_PARTS = 8
 
 # Second person pronouns, and characters that stand for letters.
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch tu te toi ton ta vous votre tú ti usted ustedes".split())
@@ -177,13 +178,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str =
     fitted on all rows. Without labelled documents in both halves nothing is learnt; the score is the share of toxic
     ones, 0 without any.
     """
-    rows = checkpointed(training_rows(docs, labels, sample, doc_id, text, label).repartition(8, "fold", F.xxhash64("text")))
+    rows = checkpointed(training_rows(docs, labels, sample, doc_id, text, label).repartition(FIT_PARTS, "fold", F.xxhash64("text")))
     half = F.col("fold") <= FOLDS // 2
     seen = rows.agg(F.avg("label").alias("share"), F.countDistinct("label").alias("classes"), F.countDistinct(half).alias("halves")).first()
     if seen["classes"] < 2 or seen["halves"] < 2:
         return Model(constant=seen["share"] or 0.0)
     lexicons = learn_lexicons(rows)
-    measured = checkpointed(with_features(rows.select("text", "label", "fold"), lexicons, F.col("fold")))
+    # A bounded sample: few partitions, as every step of every tree shuffles once per partition.
+    measured = checkpointed(with_features(rows.select("text", "label", "fold"), lexicons, F.col("fold"))).coalesce(FIT_PARTS)
     trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=20, maxDepth=3, stepSize=0.2, minInstancesPerNode=2, seed=7)
     apart = [_raw_score(trees.fit(measured.where(~side)), measured.where(side)) for side in (half, ~half)]
     calibration = IsotonicRegression(featuresCol="raw", labelCol="label").fit(apart[0].unionByName(apart[1]))
