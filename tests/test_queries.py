@@ -28,7 +28,14 @@ def test_query_equals_sql(spark, duck, name):
     assert differences(QUERIES[name](spark, FOLDER), duck, ORACLE[name]) == []
 
 
-@pytest.mark.parametrize("name", ["fct_orders", "mart_commercial_kpis", "country_kpis", "quality_report", "orders_enriched"])
+BEYOND = [
+    "fct_orders", "mart_commercial_kpis", "mart_country_targets", "mart_customer_kpis", "country_kpis", "kpis_marketing", "headline_numbers",
+    "quality_report_faulty", "source_tests_faulty", "mart_tests", "orders_enriched", "int_customer_rfm", "customer_analytics",
+    "describe_orders_faulty", "duplicate_rows_faulty", "clean_orders",
+]
+
+
+@pytest.mark.parametrize("name", BEYOND)
 def test_query_equals_sql_beyond_broadcast_and_without_reuse(spark, duck, name):
     settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.exchange.reuse": "false"}
     for key, value in settings.items():
