@@ -36,7 +36,7 @@ class Powers:
         return self.up[:n], self.down[:n]
 
 
-_BYTES, _WORDS = Powers(0xD6E8FEB86659FD93), Powers(0xA0761D6478BD642F)
+_BYTES, _WORDS, _AGAIN = Powers(0xD6E8FEB86659FD93), Powers(0xA0761D6478BD642F), Powers(0xE7037ED1A0B428DB)
 
 
 def _runs(values: np.ndarray, start: np.ndarray, end: np.ndarray, powers: Powers) -> np.ndarray:
@@ -60,12 +60,12 @@ def word_hashes(text: str | None, lower: bool = False) -> np.ndarray:
     return mixed(_runs(values, start, end, _BYTES) + (end - start).astype(np.uint64) * np.uint64(BASE))
 
 
-def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
-    """One hash for each run of ``n`` consecutive words."""
+def run_hashes(words: np.ndarray, n: int, again: bool = False) -> np.ndarray:
+    """One hash for each run of ``n`` consecutive words; ``again`` gives another one, to another base."""
     if len(words) < n:
         return np.zeros(0, np.uint64)
     start = np.arange(len(words) - n + 1)
-    return mixed(_runs(words, start, start + n, _WORDS))
+    return mixed(_runs(words, start, start + n, _AGAIN if again else _WORDS))
 
 
 def shingle_set(words: np.ndarray, n: int) -> np.ndarray:

@@ -66,7 +66,7 @@ def shard_documents(docs: DataFrame, shards: int = 40, doc_id: str = "doc_id", t
     """One row per document: id, ``size`` (bytes + 16), ``text_crc32``, ``law``, ``shard``, ``slot``, ``grown_shard``.
 
     Law ``key``: the id and the number of shards alone decide, so equal texts may sit in different shards and rows
-    that repeat an id share one. A null id counts as 0, a null text as empty. ``slot`` numbers the rows of a shard
+    that repeat an id share one; a group of equal texts is read off ``size`` and ``text_crc32``. A null id counts as 0, a null text as empty. ``slot`` numbers the rows of a shard
     from 0 without gaps, in a scattered order of their ids; numbers come from counts per shard and slice of the
     ids, so no task sorts a whole shard. An empty table gives no rows.
     """

@@ -94,16 +94,17 @@ class Block:
         self.starts: list[np.ndarray] = []
         self.held = 0
 
-    def add(self, name: tuple[int | None, int], start: np.ndarray, run: np.ndarray) -> None:
+    def add(self, name: tuple[int | None, int], start: np.ndarray, run: np.ndarray, check: np.ndarray) -> None:
         self.names.append(name)
         self.starts.append(start)
         self.runs.append(run)
+        self.checks.append((check >> np.uint64(33)).astype(np.int32))
         self.held += len(start)
 
     def parsed(self) -> pd.DataFrame:
         """Runs that are first in the block, and factors of those that are not, with a random ``run`` of their own.
 
-        ``packed`` is a second hash and the start, or, below zero, a factor's number of runs and its start.
+        ``packed`` is 31 bits of a second hash, to another base, and the start, or, below zero, a factor's number of runs and its start.
         """
         sequence = sorted(range(len(self.names)), key=lambda k: (self.names[k][0] is not None, *((self.names[k][0] or 0), self.names[k][1])))
         lengths = np.array([len(self.starts[k]) for k in sequence])
@@ -116,9 +117,10 @@ class Block:
         document = np.repeat(np.array(ranks), lengths)
         start = np.concatenate([self.starts[k] for k in sequence]).astype(np.int64)
         run = np.concatenate([self.runs[k] for k in sequence])
+        check = np.concatenate([self.checks[k] for k in sequence])
         place = (document << 32) + start  # order of the corpus within the block
-        sort = np.lexsort((place, run))
-        fresh = np.concatenate([[True], run[sort][1:] != run[sort][:-1]])
+        sort = np.lexsort((place, check, run))
+        fresh = np.concatenate([[True], (run[sort][1:] != run[sort][:-1]) | (check[sort][1:] != check[sort][:-1])])
         first = np.empty(len(run), np.int64)
         first[sort] = place[sort][fresh][np.cumsum(fresh) - 1]
         later = first < place
@@ -135,16 +137,11 @@ class Block:
                 "run": hashed,
                 "doc_id": pd.array([n for n, _ in names], dtype="Int64"),
                 "tie": [t for _, t in names],
-                "packed": np.concatenate([(second_hash(run[new]) << 32) + start[new], -1 - (np.array([n for _, n in spans], np.int64) << 32) - start[at]]),
+                "packed": np.concatenate([(check[new].astype(np.int64) << 32) + start[new], -1 - (np.array([n for _, n in spans], np.int64) << 32) - start[at]]),
             }
         )
 
 
-def second_hash(run: np.ndarray) -> np.ndarray:
-    """31 bits more, so that different runs do not meet."""
-    return (mixed(run + np.uint64(BASE)) >> np.uint64(33)).astype(np.int64)
-
-
 def tie(text: Column) -> Column:
     """Tells rows apart that share an id."""
     return F.crc32(F.coalesce(text, F.lit("")))
@@ -163,7 +160,8 @@ def found_runs(docs: DataFrame, window: int, gram: int, bits: int) -> DataFrame:
                 place = (anchor.view(np.int64) % bits).astype(np.int64)
                 start = np.flatnonzero((bit[place >> 3] >> (place & 7).astype(np.uint8)) & 1)
                 if len(start):
-                    block.add((name, zlib.crc32(text.encode("utf-8", "surrogatepass"))), start, run_hashes(words, window)[start])
+                    both = run_hashes(words, window)[start], run_hashes(words, window, again=True)[start]
+                    block.add((name, zlib.crc32(text.encode("utf-8", "surrogatepass"))), start, *both)
                 if block.held >= BUFFER:
                     yield block.parsed()
                     block = Block()
