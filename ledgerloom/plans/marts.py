@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ledgerloom.config import RetailConfig
 from ledgerloom.functions.calendar import fiscal_quarter_of, fiscal_year_of
@@ -22,18 +22,23 @@ def _rounded(c: Column, digits: int, name: str) -> Column:
 def sums_and_counts(fct: DataFrame, keys: Sequence[str], sums: dict[str, str]) -> DataFrame:
     """Per group: the sums (column to name), ``rows``, distinct orders as ``orders``, distinct customers as ``customers``.
 
-    Distinct counts side by side would copy every row once for each. Instead each step leaves fewer rows: rows meet by
-    group and order id, where an order counts once even if it names two customers; then by group and customer; then by
-    group. One shuffle serves the first two groupings.
+    Distinct counts side by side would copy every row once for each. Instead rows meet by group and order id, where
+    sorting marks one row of each order, so that it counts once even if it names two customers; then each step leaves
+    fewer rows: by group and customer, then by group. No step holds the same rows in more than one sort and one hash table.
     """
     first = [F.sum(column).alias(name) for column, name in sums.items()]
-    again = [F.sum(name).alias(name) for name in (*sums.values(), "rows")]
     met = fct.repartition(*keys, "order_id")
-    per_order = met.groupBy(*keys, "order_id", "customer_id").agg(*first, F.count("*").alias("rows"))
     once = F.row_number().over(Window.partitionBy(*keys, "order_id").orderBy("customer_id")) == 1
-    known = F.when(once & F.col("order_id").isNotNull(), 1).otherwise(0)
-    per_customer = per_order.withColumn("known", known).groupBy(*keys, "customer_id").agg(F.sum("known").alias("orders"), *again)
-    return per_customer.groupBy(*keys).agg(F.sum("orders").alias("orders"), F.count("customer_id").alias("customers"), *again)
+    marked = met.withColumn("known", F.when(once & F.col("order_id").isNotNull(), 1).otherwise(0))
+    per_customer = marked.groupBy(*keys, "customer_id").agg(F.sum("known").alias("orders"), *first, F.count("*").alias("rows"))
+
+    def total(name: str) -> Column:
+        # Spark rounds a quotient by the width of its decimals; they are as wide as a sum of sums of sums.
+        kind = per_customer.schema[name].dataType
+        wide = isinstance(kind, T.DecimalType)
+        return (F.sum(name).cast(T.DecimalType(min(kind.precision + 20, 38), kind.scale)) if wide else F.sum(name)).alias(name)
+
+    return per_customer.groupBy(*keys).agg(total("orders"), F.count("customer_id").alias("customers"), *[total(n) for n in (*sums.values(), "rows")])
 
 
 def mart_commercial_kpis(fct: DataFrame) -> DataFrame:

@@ -140,6 +140,16 @@ def test_distinct_counts_in_steps(spark):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
+def test_distinct_counts_hold_the_rows_of_an_order_once(spark):
+    rows = [("g", "o1", "c1", Decimal("0.1")), ("g", "o1", "c2", Decimal("0.2")), ("g", None, None, None)]
+    got = marts.sums_and_counts(spark.createDataFrame(rows, "k string, order_id string, customer_id string, v decimal(6,4)"), ["k"], {"v": "total"})
+    stages = got._jdf.queryExecution().sparkPlan().toString()
+    below = stages[stages.index("Window ["):]
+    assert "Aggregate" not in below
+    assert dict(got.dtypes)["total"] == "decimal(36,4)"
+    assert [tuple(r) for r in got.select("k", "orders", "customers", "total", "rows").collect()] == [("g", 1, 2, Decimal("0.3"), 3)]
+
+
 def test_country_targets_keep_misnamed_columns(spark):
     rows = [
         order("a", D(2024, 1, 1), price="100"), order("b", D(2024, 2, 1), price="300"), order("c", D(2025, 1, 1), price="600"),
