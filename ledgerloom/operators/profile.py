@@ -75,6 +75,24 @@ def duplicate_rows_by_table(tables: dict[str, DataFrame]) -> DataFrame:
     return union_all([duplicate_rows(df).select(F.lit(n).alias("table_name"), "*") for n, df in tables.items()])
 
 
+def differing_rows(copies: dict[str, DataFrame], pairs: dict[str, tuple[str, str]]) -> DataFrame:
+    """Per pair of copies of a table, the rows that one has and the other has not, counted as often as they occur.
+
+    One row with a number per pair: what ``exceptAll`` leaves in both directions together. Whole rows are compared, and
+    all copies meet in one shuffle, whatever the number of pairs. NULLs are equal.
+    """
+    columns = next(iter(copies.values())).columns
+    rows = union_all([df.select(*[_quoted(c) for c in columns], F.lit(name).alias("_copy")) for name, df in copies.items()])
+    signs = {
+        f"_{i}": (F.col("_copy") == one).cast("int") - (F.col("_copy") == other).cast("int")
+        for i, (one, other) in enumerate(pairs.values())
+    }
+    signed = rows.select(*[_quoted(c) for c in columns], *[sign.alias(i) for i, sign in signs.items()])
+    excess = signed.groupBy(*[_quoted(c) for c in columns]).agg(*[F.sum(i).alias(i) for i in signs])
+    totals = [F.coalesce(F.sum(F.abs(F.col(i))), F.lit(0)).alias(name) for i, name in zip(signs, pairs)]
+    return excess.select(*signs).agg(*totals)
+
+
 def table_shapes(tables: dict[str, DataFrame]) -> DataFrame:
     return union_all(
         [

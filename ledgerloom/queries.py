@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerloom.functions import calendar, display, measures, text
@@ -473,29 +474,24 @@ def _scratch(spark: SparkSession) -> str:
 
 @query
 def write_read_roundtrip(t):
-    """Rows that differ after a round trip through parquet and CSV, with the number of rows written."""
-    original = stg_orders(t)
-    path = _scratch(t.spark)
-    files.write_parquet(original, f"{path}/parquet")
-    files.write_csv(original, f"{path}/csv")
-    stored = read_parquet(t.spark, f"{path}/parquet")
-    text_file = t.spark.read.schema(stored.schema).option("header", True).csv(f"{path}/csv")
-    differing = profile.union_all(
-        [
-            copy.exceptAll(other).select(F.lit(name).alias("format"))
-            for name, copy, other in (
-                ("parquet", original, stored),
-                ("parquet", stored, original),
-                ("csv", stored, text_file),
-                ("csv", text_file, stored),
-            )
-        ]
-    )
-    counts = differing.agg(
-        F.count_if(F.col("format") == "parquet").alias("parquet_differences"),
-        F.count_if(F.col("format") == "csv").alias("csv_differences"),
-    )
-    return counts.withColumn("rows_written", stored.agg(F.count("*")).scalar())
+    """Rows that differ after a round trip through parquet and CSV, with the number of rows written.
+
+    The orders are joined once and kept on disk for both writes and the comparison.
+    """
+    original = stg_orders(t).persist(StorageLevel.DISK_ONLY)
+    try:
+        path = _scratch(t.spark)
+        files.write_parquet(original, f"{path}/parquet")
+        files.write_csv(original, f"{path}/csv")
+        stored = read_parquet(t.spark, f"{path}/parquet")
+        text_file = t.spark.read.schema(stored.schema).option("header", True).csv(f"{path}/csv")
+        counts = profile.differing_rows(
+            {"original": original, "stored": stored, "text": text_file},
+            {"parquet_differences": ("original", "stored"), "csv_differences": ("stored", "text")},
+        ).withColumn("rows_written", stored.agg(F.count("*")).scalar())
+        return t.spark.createDataFrame(counts.collect(), counts.schema)
+    finally:
+        original.unpersist()
 
 
 @query

@@ -195,6 +195,16 @@ def test_only_prints_are_shuffled_to_be_counted(spark):
     assert "keys=[_print_a" in counted and "text" not in counted
 
 
+def test_differing_rows_are_counted_as_often_as_they_occur(spark):
+    kinds = "a long, b string, c decimal(6,2), d double"
+    one = spark.createDataFrame([(1, "x", None, 0.0)] * 3 + [(2, None, None, None), (3, "", None, float("nan")), (4, "y", None, 1.0)], kinds)
+    two = spark.createDataFrame([(1, "x", None, -0.0)] + [(2, None, None, None), (3, None, None, float("nan")), (4, "y", None, 1.0)] * 2, kinds)
+    got = profile.differing_rows({"one": one, "two": two, "none": two.limit(0)}, {"a": ("one", "two"), "b": ("one", "one"), "c": ("two", "none")})
+    both = [x.exceptAll(y).count() + y.exceptAll(x).count() for x, y in ((one, two), (one, one))]
+    assert got.columns == ["a", "b", "c"] and tuple(got.first()) == (*both, 7) and both == [7, 0]
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2
+
+
 def test_foreign_key_rules_differ_on_null(spark):
     child = spark.createDataFrame([(1,), (None,), (9,)], "k int")
     parent = spark.createDataFrame([(1,), (2,)], "k int")
