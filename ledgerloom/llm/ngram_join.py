@@ -5,6 +5,10 @@ sizes. If the shingles are dealt to one part more than they may differ in, at le
 So sets that share a part are candidates, and candidates are gathered into blocks; within a block the product of
 the document by shingle incidence with its transpose gives all overlaps, and pairs below the bound that their
 sizes set are discarded.
+
+Sets that share a part by a common passage would gather in groups that grow much faster than the table. So each set
+has a sketch, the numbers of its shingles in 128 buckets: two sets differ in at least as many shingles as their
+sketches do, and sets whose sketches differ too much are not candidates.
 """
 
 from __future__ import annotations
@@ -21,13 +25,18 @@ from ledgerloom.llm.bit_filter import bit_filter, may_hold
 from ledgerloom.llm.columns import exact_id, quoted, whole_row
 from ledgerloom.llm.components import connected_components
 from ledgerloom.llm.hashing import BASE, mixed, shingle_set, word_hashes
-from ledgerloom.llm.storage import checkpointed
+from ledgerloom.llm.storage import checkpointed, release_shuffles
 
 WORDS = 3
 PERCENT = 90
 BLOCK = 512  # sets in a block of the product
 NEEDED_PER_SPARE = 3  # one part more than needed for so many, so that the weakest parts need no signature
 BUFFER = 1_000_000
+BUCKETS = 128  # numbers in a sketch
+HOT = 64  # sets of a buffer that share a signature, from which on like ones leave it as one row
+LEADERS = 64  # rows at most that such sets are joined to
+SMALL = 64  # sets that are compared by their sketches at once
+COMPARED = 1 << 26  # pairs of sketches compared in a group at most
 DENSE = 16  # a shingle in more sets of a block than this is a column of a dense product
 COLUMNS = 4096
 
@@ -54,6 +63,11 @@ class Bounds:
         """``total`` is the sum of both sizes."""
         return (overlap > 0) & ((100 + self.percent) * overlap >= self.percent * total)
 
+    def close(self, apart: np.ndarray, size: np.ndarray, other: np.ndarray, times: int = 1) -> np.ndarray:
+        """Whether sets of these sizes that differ in ``apart`` shingles or more can be linked; the same for ``times`` as many."""
+        alike = np.minimum(size, other) * 100 >= np.maximum(size, other) * self.percent
+        return alike & (times * apart * (100 + self.percent) <= (size + other) * (100 - self.percent))
+
 
 def set_hash(shingles: np.ndarray) -> int:
     """One signed 64-bit number for a whole set."""
@@ -93,43 +107,129 @@ def shingles_of(text: str | None, words: int) -> np.ndarray:
     return shingle_set(word_hashes(text, lower=True), words)
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """How many shingles are in each bucket, 255 at most, which brings two sketches nearer to each other but never apart."""
+    held = np.bincount((shingles >> np.uint64(57)).astype(np.int64), minlength=BUCKETS)
+    return np.minimum(held, 255).astype(np.uint8)
+
+
+def apart(sketches: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """By how much sketches differ: a metric, and no more than the number of shingles in which the sets differ."""
+    return (np.maximum(sketches, other) - np.minimum(sketches, other)).sum(axis=-1, dtype=np.uint16).astype(np.int64)
+
+
 def described(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``node`` (hash of the set) per row of ``docs`` (``doc_id``, ``text``)."""
+    """``doc_id``, ``n_shingles``, ``node`` (hash of the set) and ``sketch`` per row of ``docs`` (``doc_id``, ``text``)."""
 
     def sized(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingles_of(t, words) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": ids_of(batch), "n_shingles": [len(s) for s in sets], "node": [set_hash(s) for s in sets]})
+            yield pd.DataFrame(
+                {
+                    "doc_id": ids_of(batch),
+                    "n_shingles": [len(s) for s in sets],
+                    "node": [set_hash(s) for s in sets],
+                    "sketch": [sketch(s).tobytes() for s in sets],
+                }
+            )
+
+    return docs.select(*exact_id("doc_id"), "text").mapInPandas(sized, "doc_id long, n_shingles long, node long, sketch binary")
+
+
+def led(size: np.ndarray, sketches: np.ndarray, bounds: Bounds) -> tuple[np.ndarray, np.ndarray]:
+    """Per set its leader, and per leader how far away the sketches of its sets are at most.
+
+    A set's leader is itself or one whose sketch is half as far from its own as a linked set's may be.
+    """
+    leader, reach, left = np.arange(len(size)), np.zeros(len(size), np.int64), np.arange(len(size))
+    for _ in range(LEADERS):
+        if len(left) < 2:
+            break
+        first, others = left[0], left[1:]
+        away = apart(sketches[others], sketches[first])
+        like = bounds.close(away, size[others], size[first], times=2)
+        leader[others[like]] = first
+        reach[first] = away[like].max(initial=0)
+        left = others[~like]
+    return leader, reach
+
+
+def tied(size: np.ndarray, reach: np.ndarray, sketches: np.ndarray, bounds: Bounds) -> np.ndarray:
+    """Label the sets of one signature: all that may be linked, or lead sets that may be, have the same label.
+
+    The label is the least index. Sets that have a label in common already are not compared again. A group in which
+    more than ``COMPARED`` pairs would have to be is given one label from there on: that gathers more sets than need be.
+    """
 
-    return docs.select(*exact_id("doc_id"), "text").mapInPandas(sized, "doc_id long, n_shingles long, node long")
+    def may_be_linked(i, others) -> np.ndarray:
+        away = apart(sketches[others], sketches[i])
+        # What two leaders stand for is in neighbouring size classes, as they are.
+        largest = np.minimum(size[others], size[i]) * 100 // bounds.percent
+        through = away <= bounds.differing(largest) + reach[others] + reach[i]
+        return np.where(reach[others] + reach[i] > 0, through, bounds.close(away, size[others], size[i]))
+
+    n = len(size)
+    every = np.arange(n)
+    if n <= SMALL:
+        return roots(may_be_linked(every[:, None], every[None]))
+    label, compared = every.copy(), 0
+    for i in range(n - 1):
+        others = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
+        compared += len(others)
+        if compared > COMPARED:
+            return np.zeros(n, np.int64)
+        if not len(others):
+            if (label == label[0]).all():
+                break
+            continue
+        found = np.unique(label[others[may_be_linked(i, others)]])
+        if len(found):
+            label[np.isin(label, found)] = label[i]
+    least = np.full(n, n)
+    np.minimum.at(least, label, every)
+    return least[label]
 
 
-def candidate_edges(docs: DataFrame, words: int, bounds: Bounds) -> DataFrame:
-    """Edges ``u``, ``v`` between nodes such that all sets that share a part are connected.
+def candidate_edges(docs: DataFrame, sketches: DataFrame, words: int, bounds: Bounds) -> DataFrame:
+    """Edges ``u``, ``v`` between nodes such that all sets that share a part, and may be linked by their sketches, are connected.
 
-    Each task keeps the least node for each signature it meets and links the others to it at once, so a signature
-    shared by a third of all sets leaves a task as one row per buffer. Then the least node overall is found.
+    ``sketches`` has ``node``, ``n`` (its size) and ``sketch``. Where many sets of a task share a signature, like ones
+    leave it as one row per buffer, with their leader's ``reach``. A signature of a single set goes no further, of
+    signatures that the same sets share one does, and the sketches join what is left. Each group of sets that share a
+    signature is then compared by its sketches, and only the links of a spanning forest leave a task.
     """
 
     def signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first = bounds.classes(1 << 20)
-        nodes, signatures, held = [], [], 0
+        nodes, sizes, counts, signatures, held = [], [], [], [], 0
 
         def flush() -> pd.DataFrame:
-            node, signature = np.concatenate(nodes), np.concatenate(signatures)
-            order = np.lexsort((node, signature))
-            node, signature = node[order], signature[order]
-            fresh = np.concatenate([[True], signature[1:] != signature[:-1]])
-            least = node[fresh][np.cumsum(fresh) - 1]
-            extra = ~fresh & (node != least)
-            links = np.unique(np.stack([node[extra], least[extra]], axis=1), axis=0)
-            return pd.DataFrame(
-                {
-                    "signature": np.concatenate([signature[fresh], links[:, 0]]),
-                    "u": np.concatenate([node[fresh], links[:, 0]]),
-                    "v": pd.array([None] * int(fresh.sum()) + links[:, 1].tolist(), dtype="Int64"),
-                }
-            )
+            of = np.repeat(np.arange(len(nodes)), [len(s) for s in signatures])
+            signature, own = np.concatenate(signatures), np.array(nodes)
+            order = np.lexsort((own[of], signature))
+            signature, of = signature[order], of[order]
+            fresh = np.concatenate([[True], (signature[1:] != signature[:-1]) | (own[of[1:]] != own[of[:-1]])])
+            signature, of = signature[fresh], of[fresh]
+            reach, alone, behind = np.zeros(len(of), np.int64), np.ones(len(of), bool), []
+            start = np.flatnonzero(np.concatenate([[True], signature[1:] != signature[:-1]]))
+            length = np.diff(np.concatenate([start, [len(signature)]]))
+            size, sketched = np.array(sizes), np.array(counts)
+            for at, n in zip(start[length >= HOT], length[length >= HOT]):
+                some = of[at : at + n]
+                leader, reach[at : at + n] = led(size[some], sketched[some], bounds)
+                hidden = leader != np.arange(n)
+                alone[at : at + n] = ~hidden
+                behind.append(np.stack([own[some[hidden]], own[some[leader[hidden]]]], axis=1))
+            node = own[of]
+            if behind:
+                # A set and its leader share a signature of their own.
+                pairs = np.unique(np.concatenate(behind), axis=0)
+                mixture = mixed(mixed(pairs[:, 0].astype(np.uint64)) + pairs[:, 1].astype(np.uint64)).view(np.int64)
+                signature = np.concatenate([signature[alone], mixture, mixture])
+                node = np.concatenate([node[alone], pairs[:, 0], pairs[:, 1]])
+                reach = np.concatenate([reach[alone], np.zeros(2 * len(pairs), np.int64)])
+            # Most rows lead nothing, and a null takes less room in the shuffle.
+            return pd.DataFrame({"signature": signature, "node": node, "reach": pd.arrays.IntegerArray(reach, reach == 0)})
 
         for batch in batches:
             for text in batch["text"]:
@@ -140,19 +240,60 @@ def candidate_edges(docs: DataFrame, words: int, bounds: Bounds) -> DataFrame:
                     first = bounds.classes(2 * len(shingles))
                 size_class = int(np.searchsorted(first, len(shingles), "right")) - 1
                 signatures.append(part_signatures(shingles, size_class, first, bounds))
-                nodes.append(np.full(len(signatures[-1]), set_hash(shingles)))
+                nodes.append(set_hash(shingles))
+                sizes.append(len(shingles))
+                counts.append(sketch(shingles))
                 held += len(signatures[-1])
                 if held >= BUFFER:
                     yield flush()
-                    nodes, signatures, held = [], [], 0
+                    nodes, sizes, counts, signatures, held = [], [], [], [], 0
         if held:
             yield flush()
 
-    rows = docs.select("text").mapInPandas(signed, "signature long, u long, v long")
-    # Rows with ``v`` are links already; the others meet by signature.
-    least = F.min(F.when(F.col("v").isNull(), F.col("u"))).over(Window.partitionBy("signature"))
-    met = rows.withColumn("v", F.coalesce("v", least))
-    return met.where("u <> v").select("u", "v").distinct()
+    def spanned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, held = None, []
+
+        def done() -> tuple[np.ndarray, np.ndarray]:
+            node, size, reach, counts = (np.concatenate(v) if len(held) > 1 else v[0] for v in zip(*held))
+            label = tied(size, reach, counts, bounds)
+            to = np.flatnonzero(label != np.arange(len(label)))
+            return node[to], node[label[to]]
+
+        def edges(found: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+            return pd.DataFrame({"u": np.concatenate([u for u, _ in found]), "v": np.concatenate([v for _, v in found])})
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            found, keys = [], batch["members"].to_numpy()
+            counts = np.frombuffer(b"".join(batch["sketch"]), np.uint8).reshape(-1, BUCKETS)
+            values = [*(batch[c].to_numpy().astype(np.int64) for c in ("node", "n", "reach")), counts]
+            start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            for a, b in zip(start, [*start[1:], len(keys)]):
+                if held and keys[a] != key:
+                    found.append(done())
+                    held = []
+                key = keys[a]
+                held.append([v[a:b] for v in values])
+            if found:
+                yield edges(found)
+        if held:
+            yield edges([done()])
+
+    rows = docs.select("text").mapInPandas(signed, "signature long, node long, reach long")
+    same = Window.partitionBy("signature")
+    several = rows.select(
+        "node",
+        "reach",
+        F.min("node").over(same).alias("least"),
+        F.max("node").over(same).alias("most"),
+        F.count(F.lit(1)).over(same).alias("rows"),
+        F.bit_xor(F.xxhash64("node")).over(same).alias("mixture"),
+    ).where("least <> most")
+    members = F.xxhash64("least", "most", "rows", "mixture").alias("members")
+    groups = several.select(members, "node", "reach").groupBy("members", "node").agg(F.coalesce(F.max("reach"), F.lit(0)).alias("reach"))
+    gathered = groups.join(sketches, "node").repartition("members").sortWithinPartitions("members", "node")
+    return gathered.select("members", "node", "n", "reach", "sketch").mapInPandas(spanned, "u long, v long").distinct()
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -272,16 +413,20 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     repeat an id and text are documents of their own with equal sets. An empty table gives no rows.
 
     Documents with equal sets are one node from the start, so thousands of copies cost one comparison. Sets that
-    share a part are gathered by connected components; their texts are read once more and only their sets are
+    share a part, and whose sketches do not say that they differ too much, are gathered by connected components; their texts are read once more and only their sets are
     shuffled. Components beyond one block are compared block by block. A set is known by a 64-bit hash.
     """
     bounds = Bounds(percent)
     slim = docs.select(quoted(doc_id).cast("long").alias("doc_id"), quoted(text).alias("text"))
-    known = checkpointed(described(slim, words))
+    described_once = checkpointed(described(slim, words))
+    known = described_once.drop("sketch")
     nodes = known.where("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.max("doc_id").alias("some_id"), F.min("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies"), F.count("doc_id").alias("named")
     )
-    gathered = connected_components(candidate_edges(slim, words, bounds))
+    sketched = described_once.where("n_shingles > 0").groupBy("node").agg(F.min("n_shingles").alias("n"), F.min("sketch").alias("sketch"))
+    candidates = checkpointed(candidate_edges(slim, sketched, words, bounds))
+    release_shuffles(docs.sparkSession)
+    gathered = connected_components(candidates)
     wanted = checkpointed(nodes.join(gathered, "node"))
     first = bounds.classes(1 << 24).tolist()
 
@@ -298,7 +443,9 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     read = texts.join(reader, texts["doc_id"].eqNullSafe(reader["doc_id"])).select("text", "component", "node", "copies")
     sets = read.mapInPandas(with_sets, "component long, node long, copies long, size_class long, shingles binary")
     sets = checkpointed(sets.dropDuplicates(["node"]))
+    release_shuffles(docs.sparkSession)
     found = checkpointed(links(blocks(sets), bounds))
+    release_shuffles(docs.sparkSession)
     joined = connected_components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
     others = found.groupBy("node").agg(F.sum("links").alias("links"))
     placed = nodes.join(joined, "node", "left").join(others, "node", "left")

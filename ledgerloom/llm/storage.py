@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -28,3 +29,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that are gone.
+
+    It does when the driver's JVM happens to collect its garbage. After a checkpoint nothing reads them, and those of
+    one step would lie beside those of the next.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

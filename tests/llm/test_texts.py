@@ -136,6 +136,42 @@ def test_linked_sets_share_a_signature(percent, loss):
             assert signed(one) & signed(two)
 
 
+def test_sets_with_a_common_passage_are_not_gathered(make_docs, monkeypatch):
+    draw, dealt, blocks = random.Random(5), [], ngram_join.blocks
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    monkeypatch.setattr(ngram_join, "blocks", lambda sets: dealt.append(blocks(sets).count()) or blocks(sets))
+    passage = " ".join(f"p{k}" for k in range(9))
+    rows = [(k, f"{passage} " + " ".join(f"w{draw.randrange(10**6)}" for _ in range(8))) for k in range(240)]
+    rows += [(1000 + k, f"{rows[k][1]} {'more' * (k % 2)}") for k in range(3)]
+    assert groups(make_docs(rows), 5, 80) == plain_groups(rows, 5, 80)
+    assert dealt[0] < 40
+
+
+def test_linked_sets_are_tied_through_their_leaders():
+    draw = np.random.default_rng(6)
+    bounds = ngram_join.Bounds(80)
+    bases = [draw.integers(0, 2**64, 200, dtype=np.uint64) for _ in range(3)]
+    sets = []
+    for k in range(240):
+        changed = bases[k % 3].copy()
+        some = draw.choice(200, draw.integers(0, 40), replace=False)
+        changed[some] = draw.integers(0, 2**64, len(some), dtype=np.uint64)
+        sets.append(np.unique(changed))
+    size, sketches = np.array([len(s) for s in sets]), np.array([ngram_join.sketch(s) for s in sets])
+    leader, reach = ngram_join.led(size, sketches, bounds)
+    left = np.flatnonzero(leader == np.arange(len(sets)))
+    assert 3 <= len(left) < len(sets)
+    for rows in (left, np.arange(len(sets)), np.arange(50)):
+        label = ngram_join.tied(size[rows], (reach if rows is left else reach * 0)[rows], sketches[rows], bounds)
+        assert (label <= np.arange(len(rows))).all() and (rows[label] % 3 == rows % 3).all()
+        place = {r: k for k, r in enumerate(rows.tolist())}
+        for i, j in combinations(range(len(sets) if rows is left else len(rows)), 2):
+            overlap = np.array(len(np.intersect1d(sets[i], sets[j])))
+            if bounds.linked(overlap, size[i] + size[j]):
+                a, b = (place[leader[k] if rows is left else k] for k in (i, j))
+                assert label[a] == label[b]
+
+
 def test_one_of_each_group(make_docs, hard_rows):
     docs = make_docs(hard_rows)
     kept = ngram_join.one_of_each_group(docs, 5, 80)
