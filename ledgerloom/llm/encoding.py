@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 
@@ -70,6 +70,9 @@ class ByteBpe:
         for token, i in (*ranks.items(), *((s.encode(), i) for s, i in added.items())):
             self.spelled[i] = token
         self.merger = tiktoken.Encoding(path, pat_str=BYTES, mergeable_ranks=ranks, special_tokens=added)
+        self.lengths = np.array([len(s) for s in self.spelled])
+        # What the file says of these changes the ids or offsets that the library gives for a text.
+        self.plain = not any(content.get(k) for k in ("post_processor", "truncation", "padding"))
 
     def encode(self, texts: Sequence[str | None], plain: bool = False) -> list[np.ndarray]:
         """Ids of each text as unsigned 32-bit integers; null is empty. ``plain``: a special token's string is text."""
@@ -125,6 +128,42 @@ class WordBpe:
         return [self._encode(t or "") for t in texts]
 
 
+def offsets_of(text: str, lengths: np.ndarray) -> np.ndarray:
+    """Start and end character of tokens that are ``lengths`` bytes long each; a part of a character counts as all of it."""
+    end = np.cumsum(lengths)
+    start = end - lengths
+    data = np.frombuffer(text.encode(), np.uint8)
+    if len(data) != len(text):
+        place = np.cumsum((data & 0xC0) != 0x80)
+        start, end = place[start] - 1, place[end - 1]
+    return np.stack([start, end], axis=1).astype(np.int32)
+
+
+def encoder_with_offsets(path: str) -> Callable[[str], tuple[np.ndarray, np.ndarray]]:
+    """A function that gives a text's ids and offsets. A file that is not byte-level is read by the library."""
+    try:
+        fast = encoder(path)
+    except (KeyError, TypeError, ValueError):
+        fast = None
+    if isinstance(fast, ByteBpe) and fast.plain:
+
+        def encode(text: str) -> tuple[np.ndarray, np.ndarray]:
+            ids = fast.encode([text])[0]
+            return ids, offsets_of(text, fast.lengths[ids])
+
+        return encode
+
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(path)
+
+    def encode_as_it_is(text: str) -> tuple[np.ndarray, np.ndarray]:
+        encoded = whole.encode(text, add_special_tokens=False)
+        return np.array(encoded.ids, np.int64), np.array(encoded.offsets, np.int32).reshape(-1, 2)
+
+    return encode_as_it_is
+
+
 _ENCODERS: dict[str, ByteBpe | WordBpe] = {}
 
 

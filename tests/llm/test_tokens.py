@@ -6,6 +6,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -149,6 +151,53 @@ def test_chat_round_trip(spark):
         assert row.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_chat_offsets_are_the_library_s(spark, name):
+    draw = random.Random(8)
+    texts = [*HOSTILE, "ÀÉ ß漢字🙂🙂 e\u0301\u200b x", *["".join(draw.choice(" \n\t'sté漢🙂a1.<#\x00") for _ in range(80)) for _ in range(60)]]
+    rows = [(k // 3, k % 3, draw.choice(["user", "assistant"]), t) for k, t in enumerate(texts)]
+    whole = Tokenizer.from_file(tokenizer_path(name))
+    made = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), tokenizer_path(name)).collect()
+    assert len(made) == len({r[0] for r in rows})
+    for row in made:
+        encoded = whole.encode(row.formatted, add_special_tokens=False)
+        assert row.input_ids == encoded.ids and list(zip(row.token_start, row.token_end)) == encoded.offsets
+        line, spans = chat.render([r[2:] for r in rows if r[0] == row.conv_id], "assistant")
+        start, end = chat.token_mask(np.array(encoded.offsets).reshape(-1, 2), spans)
+        assert line == row.formatted and row.loss_start == start.tolist() and row.loss_end == end.tolist()
+
+
+def test_masked_text():
+    draw = random.Random(9)
+    for _ in range(200):
+        edges = sorted(draw.randrange(30) for _ in range(20))
+        pairs = [draw.choice([(0, 0), (a, b), (a, min(30, b + 2))]) for a, b in zip(edges[::2], edges[1::2])]
+        text, parts, at = "abcdefghijklmnopqrstuvwxyzABCD", [], 0
+        for a, b in pairs:
+            if b > max(a, at):
+                parts.append(text[max(a, at) : b])
+                at = b
+        assert chat.masked_text(text, *zip(*pairs)) == "".join(parts)
+
+
+def test_chat_hands_on_bounded_batches(spark):
+    class Frame:
+        """Gives the function that would be mapped over its batches one batch of conversations of one turn."""
+
+        def __getattr__(self, name):
+            return lambda *args, **kwargs: self
+
+        def mapInArrow(self, made, schema):  # noqa: N802
+            return made(iter([pa.RecordBatch.from_pylist([{"id": k, "named": True, **said} for k in range(2000)])]))
+
+        def mapInPandas(self, made, schema):  # noqa: N802
+            return made(iter([pd.DataFrame([{"id": k, "named": True, "turns": [said]} for k in range(2000)])]))
+
+    said = {"role": "user", "text": "some words " * 100}
+    sizes = [len(b) for b in chat.format_conversations(Frame(), tokenizer_path("byte_bpe_50k.json"))]
+    assert sum(sizes) == 2000 and max(sizes) < 600
+
+
 def test_chat_markers_cannot_be_forged():
     line, _ = chat.render([("user", t) for t in HOSTILE], "assistant")
     assert line.count("### ") == line.count("</turn>") == len(HOSTILE)
