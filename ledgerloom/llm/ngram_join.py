@@ -288,7 +288,7 @@ def candidate_edges(docs: DataFrame, sketches: DataFrame, words: int, bounds: Bo
         F.min("node").over(same).alias("least"),
         F.max("node").over(same).alias("most"),
         F.count(F.lit(1)).over(same).alias("rows"),
-        F.bit_xor(F.xxhash64("node")).over(same).alias("mixture"),
+        F.bit_xor("node").over(same).alias("mixture"),
     ).where("least <> most")
     members = F.xxhash64("least", "most", "rows", "mixture").alias("members")
     groups = several.select(members, "node", "reach").groupBy("members", "node").agg(F.coalesce(F.max("reach"), F.lit(0)).alias("reach"))
@@ -425,9 +425,9 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     )
     sketched = described_once.where("n_shingles > 0").groupBy("node").agg(F.min("n_shingles").alias("n"), F.min("sketch").alias("sketch"))
     candidates = checkpointed(candidate_edges(slim, sketched, words, bounds))
-    release_shuffles(docs.sparkSession)
     gathered = connected_components(candidates)
     wanted = checkpointed(nodes.join(gathered, "node"))
+    release_shuffles(docs.sparkSession)
     first = bounds.classes(1 << 24).tolist()
 
     def with_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -443,7 +443,6 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     read = texts.join(reader, texts["doc_id"].eqNullSafe(reader["doc_id"])).select("text", "component", "node", "copies")
     sets = read.mapInPandas(with_sets, "component long, node long, copies long, size_class long, shingles binary")
     sets = checkpointed(sets.dropDuplicates(["node"]))
-    release_shuffles(docs.sparkSession)
     found = checkpointed(links(blocks(sets), bounds))
     release_shuffles(docs.sparkSession)
     joined = connected_components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))

@@ -35,7 +35,7 @@ def release_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of frames that are gone.
 
     It does when the driver's JVM happens to collect its garbage. After a checkpoint nothing reads them, and those of
-    one step would lie beside those of the next.
+    one step would lie beside those of the next. Spark may hold the frame that it ran last, so call it a job later.
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
